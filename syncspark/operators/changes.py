@@ -15,7 +15,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncspark.config import SyncConfig
 from syncspark.functions.dates import parse_datetime
-from syncspark.functions.paths import document_deleted, document_id, require_document_id, simple_string
+from syncspark.functions.paths import (
+    document_deleted,
+    document_id,
+    path_type,
+    require_document_id,
+    simple_string,
+    struct_path,
+)
 from syncspark.operators.comments import index_rows
 from syncspark.operators.joins import keyed_join
 
@@ -77,6 +84,8 @@ def delete_counters(removed: DataFrame, doc_type: str) -> DataFrame:
 
 def document_updated(schema: T.StructType, path: str, fmt: str | None = None) -> Column:
     """Update time of a document, null when absent; unreadable text fails the run."""
+    if isinstance(path_type(schema, path), (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return struct_path(schema, path).cast("timestamp")
     return parse_datetime(simple_string(schema, path), fmt, strict=True)
 
 
