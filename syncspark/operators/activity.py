@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from syncspark.functions.dates import parse_iso
 from syncspark.functions.text import trim_to_null
 from syncspark.operators.changes import latest
-from syncspark.operators.joins import keyed_join
 
 COUNTERS = ["documents_updated", "documents_deleted", "comments_deleted", "documents_with_error"]
 RECORD_SCHEMA = (
@@ -52,10 +51,9 @@ def activity_json(runs: DataFrame) -> DataFrame:
     return runs.select(F.to_json(F.struct("source", "space_key", *record_fields())).alias("record"))
 
 
-def parse_activity_row(records: DataFrame, column: str = "record") -> DataFrame:
-    """Run rows read back from stored text."""
-    row = records.select(F.from_json(column, RECORD_SCHEMA).alias("r")).select("r.*")
-    return row.select(
+def run_rows(records: DataFrame) -> DataFrame:
+    """Run rows out of activity records, the inverse of ``activity_row``."""
+    return records.select(
         "source",
         "space_key",
         F.col("update_type").eqNullSafe("FULL").alias("full"),
@@ -67,6 +65,11 @@ def parse_activity_row(records: DataFrame, column: str = "record") -> DataFrame:
     )
 
 
+def parse_activity_row(records: DataFrame, column: str = "record") -> DataFrame:
+    """Run rows read back from stored text."""
+    return run_rows(records.select(F.from_json(column, RECORD_SCHEMA).alias("r")).select("r.*"))
+
+
 def last_run(runs: DataFrame) -> DataFrame:
     """Newest run per source and space."""
     return latest(runs, ["source", "space_key"], ["start_date"])
@@ -102,7 +105,7 @@ def state_report(sources: DataFrame, running: DataFrame, spaces: DataFrame, runs
         F.to_json(F.struct("space_key", *record_fields(final=False))).alias("report"),
     )
     newest = last_run(runs).select("source", "space_key", F.struct(*record_fields()).alias("last_indexing"))
-    each = keyed_join(spaces.select("source", "space_key"), newest, ["source", "space_key"], "left").select(
+    each = spaces.select("source", "space_key").join(newest, ["source", "space_key"], "left").select(
         "source",
         F.lit("indexed_spaces").alias("section"),
         "space_key",

@@ -157,7 +157,7 @@ def effective_kind(spaces: DataFrame, watermarks: DataFrame) -> DataFrame:
     ``spaces``: source, space_key, full (requested). ``watermarks``: source, space_key,
     watermark, one row per space.
     """
-    joined = keyed_join(spaces, watermarks, ["source", "space_key"], "left")
+    joined = spaces.join(watermarks, ["source", "space_key"], "left")
     after = F.when(~F.col("full"), F.col("watermark"))
     return joined.select("source", "space_key", (F.col("full") | F.col("watermark").isNull()).alias("full"), after.alias("updated_after"))
 
@@ -218,7 +218,7 @@ def run_outcome(runs: DataFrame, errors: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list("message")).alias("_messages"),
         F.sum("_times").alias("documents_with_error"),
     )
-    joined = keyed_join(runs, texts, keys, "left")
+    joined = runs.join(texts, keys, "left")
     failure = F.nullif(F.trim("failure"), F.lit(""))
     lines = F.array_compact(F.concat(F.coalesce("_messages", F.array().cast("array<string>")), F.array(failure)))
     return joined.select(

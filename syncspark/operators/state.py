@@ -2,7 +2,8 @@
 
 State rows: ``source, space_key, property, value``; ``space_key`` is null for a
 property of the whole source. One row per key; the table grows with the number of
-spaces, not with the documents.
+spaces, not with the documents. Joins between such tables carry no hint: Spark
+broadcasts a side whose statistics are small and shuffles both otherwise.
 """
 
 from __future__ import annotations
@@ -11,8 +12,6 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from syncspark.operators.joins import keyed_join
-
 WATERMARK = "watermark"
 LAST_START = "last_start"
 LAST_FULL = "last_full"
@@ -51,9 +50,9 @@ def state_delete(state: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFram
     """State without the keys, and per key whether it existed."""
     held = state.select(F.col("source"), state_key(F.col("property"), F.col("space_key")).alias("_key"), "space_key", "property", "value")
     asked = keys.select("source", state_key(F.col("property"), F.col("space_key")).alias("_key"), "space_key", "property").distinct()
-    left = keyed_join(held, asked.select("source", "_key"), ["source", "_key"], "left_anti").select(*STATE_COLUMNS)
+    left = held.join(asked.select("source", "_key"), ["source", "_key"], "left_anti").select(*STATE_COLUMNS)
     found = held.select("source", "_key", F.lit(True).alias("_found"))
-    existed = keyed_join(asked, found, ["source", "_key"], "left").select(
+    existed = asked.join(found, ["source", "_key"], "left").select(
         "source", "space_key", "property", F.coalesce("_found", F.lit(False)).alias("existed")
     )
     return left, existed
@@ -87,7 +86,7 @@ def spaces_due(
     replaces the full period. Stopped sources have no due spaces.
     """
     scheduled = "next_full_at" in spaces.columns
-    joined = keyed_join(running_sources(spaces, state), state_by_space(state), ["source", "space_key"], "left")
+    joined = running_sources(spaces, state).join(state_by_space(state), ["source", "space_key"], "left")
     full = full_due(now, full_period, scheduled)
     due = (
         F.col(FORCE_FULL).isNotNull()
@@ -103,7 +102,7 @@ def spaces_due(
 
 def spaces_due_full(spaces: DataFrame, state: DataFrame, now: datetime, full_period: timedelta) -> DataFrame:
     scheduled = "next_full_at" in spaces.columns
-    joined = keyed_join(spaces, state_by_space(state), ["source", "space_key"], "left")
+    joined = spaces.join(state_by_space(state), ["source", "space_key"], "left")
     return joined.filter(full_due(now, full_period, scheduled)).select("source", "space_key")
 
 
@@ -159,4 +158,4 @@ def resume(state: DataFrame, sources: DataFrame) -> DataFrame:
 
 def running_sources(spaces: DataFrame, state: DataFrame) -> DataFrame:
     stopped = state.filter((F.col("property") == STOPPED) & F.col("space_key").isNull()).select("source").distinct()
-    return keyed_join(spaces, stopped, ["source"], "left_anti")
+    return spaces.join(stopped, ["source"], "left_anti")

@@ -1,8 +1,10 @@
 """The target of a synchronisation as append-only Parquet tables.
 
-``rows``      every version of every row, partitioned by source, space and run
+``rows``      every version of every row, partitioned by source, space, run and kind
 ``runs``      the finished runs; a run counts once its row is here
 ``state``     watermarks and flags, one generation per run
+``plans``     the spaces each run set out to read
+``reports``   the counters of each run
 ``activity``  run records
 
 A run only adds files, so its cost follows the changes and not the target, readers
@@ -21,10 +23,11 @@ from syncspark.operators.joins import keyed_join
 from syncspark.operators.state import STATE_SCHEMA
 
 ROWS_SCHEMA = (
-    "op string, doc_type string, doc_id string, parent_id string, document_id string, body string, "
+    "doc_type string, doc_id string, parent_id string, document_id string, body string, "
     "updated timestamp, indexed_at timestamp, page_no bigint, pos bigint, "
-    "source string, space_key string, run_id bigint"
+    "source string, space_key string, run_id bigint, op string"
 )
+ROWS_PARTITIONS = ["source", "space_key", "run_id", "op"]
 RUNS_SCHEMA = "source string, space_key string, run_id bigint, full boolean"
 ORDER = ["run_id", "page_no", "pos"]
 
@@ -57,24 +60,33 @@ class SyncStore:
 
         return self.read("activity", RECORD_SCHEMA)
 
-    def state(self) -> DataFrame:
-        """State of the newest generation of each source."""
-        kept = self.read("state", STATE_SCHEMA + ", generation bigint")
-        newest = kept.groupBy("source").agg(F.max("generation").alias("generation"))
-        return keyed_join(kept, newest, ["source", "generation"], "left_semi").drop("generation").filter("property <> ''")
+    def state(self, source: str) -> DataFrame:
+        """Newest generation of a source's state."""
+        kept = self.read("state", STATE_SCHEMA + ", generation bigint").filter(F.col("source") == source)
+        newest = kept.agg(F.max("generation")).first()[0]
+        current = kept.filter(F.col("generation") == F.lit(newest).cast("bigint"))
+        return current.drop("generation").filter("property <> ''")
 
     def write_state(self, state: DataFrame, source: str, generation: int) -> None:
         """Append a whole generation; an empty one leaves a marker, so that it counts."""
         marker = self.spark.createDataFrame([(source, None, "", None)], STATE_SCHEMA)
         rows = state.filter(F.col("source") == source).unionByName(marker)
-        rows.withColumn("generation", F.lit(generation)).coalesce(1).write.mode("append").parquet(self.path("state"))
+        rows.withColumn("generation", F.lit(generation)).coalesce(1).write.mode("append").partitionBy(
+            "generation"
+        ).parquet(self.path("state"))
+
+    def save(self, df: DataFrame, table: str, run_id: int) -> DataFrame:
+        """Keep a small intermediate result as a table: later steps read it instead of
+        computing it again, and a lost executor costs nothing."""
+        path = f"{self.path(table)}/run_id={run_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def live_runs(self, runs: DataFrame | None = None) -> DataFrame:
         """Runs that make up the target: from the last full run of each space on."""
         runs = self.runs() if runs is None else runs
         base = runs.groupBy("source", "space_key").agg(F.max(F.when(F.col("full"), F.col("run_id"))).alias("_base"))
-        joined = keyed_join(runs, base, ["source", "space_key"], "left")
-        return joined.filter(F.col("_base").isNull() | (F.col("run_id") >= F.col("_base"))).select(
+        return runs.join(base, ["source", "space_key"], "left").filter(F.col("_base").isNull() | (F.col("run_id") >= F.col("_base"))).select(
             "source", "space_key", "run_id"
         ).distinct()
 
@@ -83,7 +95,7 @@ class SyncStore:
 
         ``columns`` names what is wanted beyond key and scope; the rest is not read.
         """
-        live = keyed_join(self.rows(), self.live_runs(runs), ["source", "space_key", "run_id"], "left_semi")
+        live = self.rows().join(self.live_runs(runs), ["source", "space_key", "run_id"], "left_semi")
         held = [c for c in DELETE_SCOPE if c not in ROW_KEY] + list(columns)
         order = F.struct(*ORDER)
         newest = (

@@ -6,13 +6,14 @@ import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from syncspark.config import ReadMode, SyncConfig
-from syncspark.functions.paths import document_deleted, path_type
-from syncspark.operators import activity as act
-from syncspark.operators import state as st
+from syncspark.errors import DataShapeError
+from syncspark.functions.paths import document_deleted, document_id, path_type
+from syncspark.operators import activity as act, sinks, state as st
 from syncspark.operators.changes import (
     DELETE_SCOPE,
     ROW_KEY,
@@ -24,11 +25,10 @@ from syncspark.operators.changes import (
     watermark_advance,
     watermark_bump,
 )
-from syncspark.functions.paths import document_id
 from syncspark.operators.comments import index_rows
 from syncspark.operators.joins import keyed_join
 from syncspark.operators.preprocess import Preprocessor, preprocess
-from syncspark.plans.store import SyncStore
+from syncspark.plans.store import ROWS_PARTITIONS, SyncStore
 
 # A reader gets the spaces to read (source, space_key, full, updated_after) and returns
 # documents with spaceKey, page_no and pos.
@@ -72,22 +72,30 @@ def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id:
     )
 
 
-def _counters(store: SyncStore, cfg: SyncConfig, before: DataFrame, kinds: DataFrame, run_id: int) -> DataFrame:
+def _counters(
+    store: SyncStore, cfg: SyncConfig, before: DataFrame, kinds: DataFrame, run_id: int, some_full: bool, some_partial: bool
+) -> DataFrame:
     """Counters per space: what the run wrote, and what it takes from the target."""
     keys = ["source", "space_key"]
     written = store.rows().filter(F.col("run_id") == run_id)
-    updates = written.groupBy(*keys).agg(
-        F.count_if((F.col("op") == "upsert") & (F.col("doc_type") == cfg.doc_type)).alias("documents_updated")
+    joined = kinds.join(
+        written.filter("op = 'upsert'").groupBy(*keys).agg(
+            F.count_if(F.col("doc_type") == cfg.doc_type).alias("documents_updated")
+        ),
+        keys, "left",
     )
     scope = before.filter((F.col("source") == cfg.source) & F.col("doc_type").isin(*cfg.doc_types))
-    scope = keyed_join(scope, kinds.select(*keys, "full"), keys, "inner")
-    deletes = written.filter("op = 'delete'").select(*DELETE_SCOPE).distinct()
-    by_flag = keyed_join(scope.filter("not full"), deletes, DELETE_SCOPE, "left_semi")
-    fresh = written.filter("op = 'upsert'").select(*ROW_KEY).distinct()
-    by_refresh = keyed_join(scope.filter("full"), fresh, ROW_KEY, "left_anti")
-    removed = delete_counters(by_flag.select(*keys, "doc_type").unionByName(by_refresh.select(*keys, "doc_type")), cfg.doc_type)
-    joined = keyed_join(kinds.select(*keys, "full"), updates, keys, "left")
-    joined = keyed_join(joined, removed, keys, "left")
+    scope = scope.join(kinds.select(*keys, "full"), keys)
+    removed = []
+    if some_partial:
+        deletes = written.filter("op = 'delete'").select(*DELETE_SCOPE).distinct()
+        removed.append(keyed_join(scope.filter("not full"), deletes, DELETE_SCOPE, "left_semi"))
+    if some_full:
+        # Both sides are of the size of the target, so neither is worth measuring.
+        fresh = written.filter("op = 'upsert'").select(*ROW_KEY)
+        removed.append(scope.filter("full").join(fresh, ROW_KEY, "left_anti"))
+    rows = reduce(DataFrame.unionByName, [r.select(*keys, "doc_type") for r in removed])
+    joined = joined.join(delete_counters(rows, cfg.doc_type), keys, "left")
     counts = ["documents_updated", "documents_deleted", "comments_deleted"]
     return joined.select(*keys, "full", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
 
@@ -98,59 +106,62 @@ def sync_once(
 ) -> RunReport | None:
     """Read, reshape and store all due spaces, then advance state and activity log.
 
-    ``spaces``: source, space_key of the source. Returns None when nothing is due.
+    ``spaces``: source, space_key of the source. Returns None when nothing is due. A
+    pass that fails is recorded as failed for its spaces and changes nothing else.
     """
-    state = store.state()
+    run_id = time.time_ns() // 1000
+    began = time.monotonic()
+    state = store.state(cfg.source)
     due = st.spaces_due(spaces, state, now, cfg.update_period, cfg.full_update_period)
     if not cfg.read_mode.incremental:
         due = due.withColumn("full", F.lit(True))
-    marks = st.state_get(state, st.WATERMARK)
-    kinds = effective_kind(due, marks)
-    if kinds.isEmpty():
+    kinds = store.save(effective_kind(due, st.state_get(state, st.WATERMARK)), "plans", run_id)
+    total, full = kinds.agg(F.count("*"), F.count_if("full")).first()
+    if not total:
         return None
-    run_id = time.time_ns() // 1000
-    began = time.monotonic()
     before_runs = store.runs()
     failure = None
     try:
         docs = preprocess(read(kinds), chain)
         if path_type(docs.schema, "spaceKey") is None:
-            raise ValueError("the reader must provide spaceKey, page_no and pos")
+            raise DataShapeError("the reader must provide spaceKey, page_no and pos")
         rows = target_rows(docs, cfg, now, run_id)
-        rows.hint("rebalance", "source", "space_key").write.mode("append").partitionBy(
-            "source", "space_key", "run_id"
-        ).parquet(store.path("rows"))
+        rows.hint("rebalance", "source", "space_key").write.mode("append").partitionBy(*ROWS_PARTITIONS).parquet(
+            store.path("rows")
+        )
         before = store.current(columns=[], runs=before_runs)
-        counted = _counters(store, cfg, before, kinds, run_id)
+        counted = _counters(store, cfg, before, kinds, run_id, some_full=full > 0, some_partial=full < total)
+        runs = store.save(_run_rows(counted, now, began, None), "reports", run_id)
     except Exception as error:  # noqa: BLE001 - any failure becomes the result of the run
-        failure = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
+        lines = str(error).strip().splitlines()
+        failure = lines[0] if lines else type(error).__name__
         zero = F.lit(0).cast("bigint")
-        counted = kinds.select(
-            "source", "space_key", "full",
-            *[zero.alias(c) for c in ("documents_updated", "documents_deleted", "comments_deleted")],
-        )
-    runs = counted.select(
-        "*",
-        F.lit(0).cast("bigint").alias("documents_with_error"),
-        F.lit(now).alias("start_date"),
-        F.lit(failure is None).alias("ok"),
-        F.lit(failure).cast("string").alias("error_message"),
-    ).withColumn("time_elapsed", F.lit(int((time.monotonic() - began) * 1000)).cast("bigint"))
-    # The report is needed for three writes: keep it as a table, which also cuts its lineage.
-    report = f"{store.path('reports')}/run_id={run_id}"
-    runs.write.mode("overwrite").parquet(report)
-    runs = store.spark.read.parquet(report)
-
-    act.activity_row(runs).write.mode("append").parquet(store.path("activity"))
-    store.write_state(_next_state(store, state, marks, runs, cfg, now, run_id, failure is None), cfg.source, run_id)
+        counts = [zero.alias(c) for c in ("documents_updated", "documents_deleted", "comments_deleted")]
+        failed = kinds.select("source", "space_key", "full", *counts)
+        runs = store.save(_run_rows(failed, now, began, failure), "reports", run_id)
+    sinks.append_activity(act.activity_row(runs), store.path("activity"))
+    changed = _next_state(store, state, kinds, runs, cfg, now, run_id, failure is None)
+    store.write_state(changed, cfg.source, run_id)
     if failure is None:
+        # The row that makes the run count comes last.
         runs.select("source", "space_key", F.lit(run_id).alias("run_id"), "full").coalesce(1).write.mode(
             "append"
         ).parquet(store.path("runs"))
     return RunReport(run_id, runs)
 
 
-def _next_state(store, state, marks, runs, cfg, now, run_id, ok) -> DataFrame:
+def _run_rows(counted: DataFrame, now: datetime, began: float, failure: str | None) -> DataFrame:
+    return counted.select(
+        "*",
+        F.lit(0).cast("bigint").alias("documents_with_error"),
+        F.lit(now).alias("start_date"),
+        F.lit(failure is None).alias("ok"),
+        F.lit(failure).cast("string").alias("error_message"),
+        F.lit(int((time.monotonic() - began) * 1000)).cast("bigint").alias("time_elapsed"),
+    )
+
+
+def _next_state(store, state, kinds, runs, cfg, now, run_id, ok) -> DataFrame:
     keys = ["source", "space_key"]
     started = runs.select(*keys, F.lit(st.LAST_START).alias("property"), F.lit(now).alias("value"))
     changes = started.unionByName(st.finish(runs, now, cfg.full_update_period))
@@ -158,13 +169,10 @@ def _next_state(store, state, marks, runs, cfg, now, run_id, ok) -> DataFrame:
         read = store.rows().filter((F.col("run_id") == run_id) & (F.col("doc_type") == cfg.doc_type)).select(
             *keys, "page_no", "pos", "updated", F.lit(True).alias("reachable"), F.lit(True).alias("wrote")
         )
-        ends = keyed_join(watermark_advance(read), marks.withColumnRenamed(st.WATERMARK, "_start"), keys, "left")
-        ends = keyed_join(ends, runs.select(*keys, "documents_updated", "full"), keys, "left")
-        start = F.when(~F.col("full"), F.col("_start"))
-        bumped = watermark_bump(start, F.col("watermark"), F.col("documents_updated"))
-        changes = changes.unionByName(
-            ends.select(*keys, F.lit(st.WATERMARK).alias("property"), F.coalesce(bumped, F.col("watermark")).alias("value"))
-        )
+        ends = watermark_advance(read).join(kinds.select(*keys, "updated_after"), keys, "left")
+        ends = ends.join(runs.select(*keys, "documents_updated"), keys, "left")
+        bumped = watermark_bump(F.col("updated_after"), F.col("watermark"), F.col("documents_updated"))
+        changes = changes.unionByName(ends.select(*keys, F.lit(st.WATERMARK).alias("property"), bumped.alias("value")))
     return st.state_put(state, changes)
 
 

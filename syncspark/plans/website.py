@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from syncspark.sources.details import enrich_details
+from syncspark.operators.joins import keyed_join
 from syncspark.sources.html import html_extract
 from syncspark.sources.sitemap import read_sitemap, website_documents
 
@@ -14,14 +14,18 @@ def website(
 ) -> tuple[DataFrame, DataFrame]:
     """Documents of a website with their ``detail``, and the errors of missing pages.
 
-    ``pages``: url, html and optionally the column named by ``content_type``. Pages
-    that no sitemap names are not parsed.
+    ``pages``: url, html and optionally the column named by ``content_type``, one row
+    per URL. A page no sitemap names is not parsed, and pages meet the much smaller
+    document rows in place unless those outgrow a broadcast.
     """
     docs = website_documents(read_sitemap(sitemaps))
-    wanted = pages.join(docs.select("url"), "url", "left_semi")
-    details = html_extract(wanted, mapping, content_type=F.col(content_type) if content_type else None)
-    found = docs.join(details.select("url", "status", "detail"), "url", "left").withColumn(
-        "status", F.coalesce("status", F.lit(404))
+    kind = F.col(content_type) if content_type else None
+    detailed = html_extract(keyed_join(pages, docs, ["url"], "inner"), mapping, content_type=kind)
+    found = detailed.filter("status = 200").select(
+        "id", "url", "last_modified", "priority", "detail", F.lit(space_key).alias("spaceKey")
     )
-    full, errors = enrich_details(docs, found.select("url", "status", "detail"), ["url"])
-    return full.withColumn("spaceKey", F.lit(space_key)), errors
+    is_html = F.lit(True) if kind is None else F.contains(kind, F.lit("text/html"))
+    errors = keyed_join(docs, pages.filter(is_html).select("url"), ["url"], "left_anti").select(
+        "id", "url", F.lit("detail processing problem, document skipped: not found").alias("message")
+    )
+    return found, errors

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -24,7 +23,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", memory: str = "8g", app: str = "syncspark") -> SparkSession:
+def local_session(
+    cores: str = "8", memory: str = "8g", app: str = "syncspark", extra: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -34,13 +35,16 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "syncspark")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor reaches, from ``spark.checkpoint.dir``.
 
@@ -50,8 +54,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="syncspark-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.conf.get("spark.app.id", "")
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="syncspark-")
+    return _LOCAL_FOLDERS[app]

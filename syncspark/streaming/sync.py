@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from syncspark.config import SyncConfig
-from syncspark.plans.store import SyncStore
+from syncspark.plans.store import ROWS_PARTITIONS, SyncStore
 from syncspark.plans.sync import target_rows
 
 
@@ -41,7 +41,7 @@ def continuous_sync(
         spark = batch.sparkSession
         (
             rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("source", "space_key", "run_id").parquet(store.path("rows"))
+            .partitionBy(*ROWS_PARTITIONS).parquet(store.path("rows"))
         )
         stored = spark.read.schema(store.rows().schema).parquet(store.path("rows")).filter(F.col("run_id") == batch_id)
         counters = batch_progress(stored, cfg.doc_type, batch_id)
