@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from syncspark.errors import WriteFailedError
 
@@ -25,18 +25,16 @@ def write_documents(
 ) -> WriteResult:
     """Append accepted rows to the target and refused ones to the dead letters.
 
-    Partial failure is counted, total failure raises. Both counts come from the
-    write itself.
+    Partial failure is counted, total failure raises. The count reads only the columns
+    the predicate needs.
     """
     ok = F.coalesce(valid, F.lit(False))
-    seen = Observation()
-    watched = rows.observe(seen, F.count("*").alias("total"), F.count_if(~ok).alias("failed"))
-    watched.filter(ok).write.mode("append").partitionBy(*partition_by).parquet(target)
-    total, failed = seen.get["total"], seen.get["failed"]
+    total, failed = rows.agg(F.count("*"), F.count_if(~ok)).first()
     if failed:
         rows.filter(~ok).write.mode("append").parquet(dead_letters)
     if total and failed == total:
         raise WriteFailedError(f"none of {total} rows could be written")
+    rows.filter(ok).write.mode("append").partitionBy(*partition_by).parquet(target)
     return WriteResult(total - failed, failed)
 
 

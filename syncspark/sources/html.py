@@ -290,8 +290,6 @@ def extract_udf(mapping: dict[str, HtmlField]):
                     columns[name].append(None if page is None else field_value(page, rule, selectors[name]))
             yield pd.DataFrame(columns, columns=list(rules), dtype="object")
 
-    # The hints above are strings here, so the kind of function is named explicitly.
-    extract.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(extract, schema)
 
 

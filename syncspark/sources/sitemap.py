@@ -194,7 +194,7 @@ def _gunzip(batch: pd.Series) -> pd.Series:
 def gunzip(content: Column) -> Column:
     """Text of gzip bytes. Files with the usual suffix need no such step: Spark's text
     source decompresses them while reading."""
-    return F.pandas_udf(_gunzip, "string", F.PandasUDFType.SCALAR)(content)
+    return F.pandas_udf(_gunzip, "string")(content)
 
 
 def read_gzip_files(spark, path: str) -> DataFrame:

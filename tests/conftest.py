@@ -11,7 +11,7 @@ from syncspark.session import local_session  # noqa: E402
 
 # Column expressions at module level need a running session.
 SESSION = local_session(
-    cores="8", memory="6g", app="tests", extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="syncspark-tests-")}
+    cores="8", memory="6g", app="tests", extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="syncspark-tests-"), "spark.sql.shuffle.partitions": "4"}
 )
 
 

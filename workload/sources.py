@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import uuid
 from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncspark.operators import sinks
@@ -322,14 +324,10 @@ def s15_sitemap_text(spark, d):
 
 @query(XML_SQL.replace(".xml", ".gz"))
 def s16_sitemap_gzip(spark, d):
-    import gzip
-
-    import pandas as pd
-
     def squeeze(batch: pd.Series) -> pd.Series:
         return batch.map(lambda s: gzip.compress(s.encode("utf-8")))
 
-    zipped = F.pandas_udf(squeeze, "binary", F.PandasUDFType.SCALAR)
+    zipped = F.pandas_udf(squeeze, "binary")
     packed = xml_bodies(spark, d).select(
         F.regexp_replace("sitemap_url", r"\.xml$", ".gz").alias("sitemap_url"),
         F.lit("application/x-gzip").alias("content_type"),
