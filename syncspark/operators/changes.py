@@ -82,11 +82,12 @@ def delete_counters(removed: DataFrame, doc_type: str) -> DataFrame:
     )
 
 
-def document_updated(schema: T.StructType, path: str, fmt: str | None = None) -> Column:
-    """Update time of a document, null when absent; unreadable text fails the run."""
+def document_updated(schema: T.StructType, path: str, fmt: str | None = None, strict: bool = True) -> Column:
+    """Update time of a document, null when absent; unreadable text fails the run, or
+    is null when not ``strict``."""
     if isinstance(path_type(schema, path), (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return struct_path(schema, path).cast("timestamp")
-    return parse_datetime(simple_string(schema, path), fmt, strict=True)
+    return parse_datetime(simple_string(schema, path), fmt, strict)
 
 
 def require_updated(updated: Column, doc_id: Column) -> Column:

@@ -25,9 +25,11 @@ def _comments(docs: DataFrame, cfg: SyncConfig) -> tuple[Column, T.StructType] |
     return struct_path(docs.schema, cfg.comments), kind.elementType
 
 
-def comment_id(schema: T.StructType, path: str, comment: Column) -> Column:
-    """Id of a comment; a missing one fails the run."""
+def comment_id(schema: T.StructType, path: str, comment: Column, strict: bool = True) -> Column:
+    """Id of a comment; a missing one fails the run, or is null when not ``strict``."""
     found = simple_string(schema, path, comment)
+    if not strict:
+        return found
     return F.when(found.isNull(), F.raise_error(F.lit("comment id not found"))).otherwise(found)
 
 
@@ -74,7 +76,7 @@ def comment_rows(docs: DataFrame, cfg: SyncConfig, space_key: Column | None = No
 
 
 def index_rows(
-    docs: DataFrame, cfg: SyncConfig, space_key: Column | None = None, keep: list[str] = ()
+    docs: DataFrame, cfg: SyncConfig, space_key: Column | None = None, keep: list[str] = (), strict: bool = True
 ) -> DataFrame:
     """Target rows of a batch of documents in one pass over it.
 
@@ -106,7 +108,7 @@ def index_rows(
             values,
             lambda c: row(
                 cfg.comment_type,
-                comment_id(kind, cfg.comment_id, c),
+                comment_id(kind, cfg.comment_id, c, strict),
                 parent,
                 [*standard, *mapped_columns(kind, cfg.comment_fields, cfg.value_filters, c)],
             ),
@@ -124,6 +126,15 @@ def index_rows(
     )
 
 
+def lacks_comment_id(docs: DataFrame, cfg: SyncConfig) -> Column:
+    """True for a document with a comment that cannot be stored under an id."""
+    found = _comments(docs, cfg) if cfg.comment_mode.separate_rows else None
+    if found is None:
+        return F.lit(False)
+    values, kind = found
+    return F.coalesce(F.exists(values, lambda c: simple_string(kind, cfg.comment_id, c).isNull()), F.lit(False))
+
+
 def collect_children(
     children: DataFrame, key: str | list[str], position: str, fields: list[str], name: str = "comments",
     max_children: int = 10_000,
@@ -142,7 +153,7 @@ def collect_children(
     sizes = parted.groupBy(*keys, "part").agg(F.count("*").alias("_size")).filter(F.col("_size") > max_children)
     piece = F.lit(0).cast("bigint")
     if not sizes.isEmpty():
-        parted = keyed_join(parted, sizes, [*keys, "part"], "left")
+        parted = keyed_join(parted, sizes, [*keys, "part"], "left", hot=True)
         pieces = F.ceil(F.coalesce("_size", F.lit(1)) / F.lit(max_children)).cast("bigint")
         spread = F.xxhash64(*keys, position, *[f for f in fields if f != position]) + F.spark_partition_id()
         piece = F.pmod(spread, pieces)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+SALTS = 16
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -19,18 +19,22 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return rows <= max_rows and size <= max_bytes
 
 
-def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: bool = False) -> DataFrame:
     """Join ``left`` with a ``right`` that has one row per key.
 
     A right side of measured small size is broadcast, so the left one stays where it
-    is. Beyond that both are shuffled on key and salt: every left row goes to one of
-    ``SALTS`` tasks of its key, so a key with a large share of the rows is spread.
-    The salt is a function of the row and its partition, hence the same on a retry.
+    is. Beyond that both sides are shuffled, and Spark splits a partition that turns
+    out skewed. With ``hot``, for joins on few and very uneven keys such as spaces,
+    the shuffle is on key and salt instead: every left row goes to one of ``SALTS``
+    tasks of its key. The salt is a function of the row and its partition, hence the
+    same on a retry.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if is_small(right):
         return left.join(F.broadcast(right), keys, how)
+    if not hot:
+        return left.join(right, keys, how)
     sortable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in sortable]) + F.spark_partition_id(), F.lit(SALTS))
     salted_left = left.withColumn("_salt", salt.cast("int"))

@@ -40,7 +40,7 @@ def lookup(source_field: str, table: DataFrame, key: str, values: dict[str, str]
     def run(docs: DataFrame) -> DataFrame:
         held = {target: f"_lookup_{i}" for i, target in enumerate(values)}
         side = table.select(F.col(key).alias("_key"), *[F.col(values[t]).alias(c) for t, c in held.items()])
-        joined = keyed_join(docs.withColumn("_key", struct_path(docs.schema, source_field)), side, ["_key"], "left")
+        joined = keyed_join(docs.withColumn("_key", struct_path(docs.schema, source_field)), side, ["_key"], "left", hot=True)
         for target, column in held.items():
             joined = put_path(joined, target, F.col(column))
         return joined.drop("_key", *held.values())

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from syncspark.config import ReadMode, SyncConfig
 from syncspark.errors import DataShapeError
 from syncspark.functions.paths import document_deleted, document_id, path_type
+from syncspark.functions.text import is_blank
 from syncspark.operators import activity as act, sinks, state as st
 from syncspark.operators.changes import (
     DELETE_SCOPE,
@@ -25,7 +26,8 @@ from syncspark.operators.changes import (
     watermark_advance,
     watermark_bump,
 )
-from syncspark.operators.comments import index_rows
+from syncspark.operators.activity import COUNTERS
+from syncspark.operators.comments import index_rows, lacks_comment_id
 from syncspark.operators.joins import keyed_join
 from syncspark.operators.preprocess import Preprocessor, preprocess
 from syncspark.plans.store import ROWS_PARTITIONS, SyncStore
@@ -41,27 +43,48 @@ class RunReport:
     runs: DataFrame
 
 
-def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id: int) -> DataFrame:
-    """Rows to store for a batch, read once: versions of documents and comments, and
-    one delete row per flagged document."""
-    doc_id = require_document_id(document_id(docs.schema, cfg.document_id), F.col("spaceKey"))
-    updated = F.lit(None).cast("timestamp")
+def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id: int, strict: bool = True) -> DataFrame:
+    """Rows to store for a batch, read once: versions of documents and comments, one
+    delete row per flagged document, one ``skipped`` row per document with a
+    ``skip_reason``.
+
+    A document without id or update time, or with a comment without id, fails the
+    batch when ``strict``; else it becomes an ``error`` row, for which only its space
+    fails.
+    """
+    space = F.col("spaceKey")
+    doc_id = document_id(docs.schema, cfg.document_id)
+    updated, timely = F.lit(None).cast("timestamp"), F.lit(True)
     if cfg.updated is not None:
-        updated = document_updated(docs.schema, cfg.updated, cfg.updated_format)
-        if cfg.read_mode is ReadMode.UPDATE_TIMESTAMP:
-            updated = require_updated(updated, doc_id)
-    flagged = docs.withColumn("_updated", updated).withColumn("_checked", doc_id).withColumn(
-        "_gone", document_deleted(docs.schema, cfg.deleted, cfg.deleted_value)
+        updated = document_updated(docs.schema, cfg.updated, cfg.updated_format, strict)
+        timely = updated.isNotNull() if cfg.read_mode is ReadMode.UPDATE_TIMESTAMP else timely
+    if strict:
+        doc_id = require_document_id(doc_id, space)
+        updated = require_updated(updated, doc_id) if cfg.read_mode is ReadMode.UPDATE_TIMESTAMP else updated
+        error = F.lit(None).cast("string")
+    else:
+        error = (
+            F.when(is_blank(doc_id), F.concat(F.lit("document id not found in data of space "), space))
+            .when(~timely, F.concat(F.lit("last update time not found in data of document "), doc_id))
+            .when(lacks_comment_id(docs, cfg), F.concat(F.lit("comment id not found in data of document "), doc_id))
+        )
+    skip = F.col("skip_reason") if "skip_reason" in docs.columns else F.lit(None).cast("string")
+    flagged = docs.select(
+        "*",
+        updated.alias("_updated"),
+        doc_id.alias("_checked"),
+        F.when(skip.isNotNull() & ~is_blank(doc_id), "skipped").when(error.isNotNull(), "error")
+        .when(document_deleted(docs.schema, cfg.deleted, cfg.deleted_value), "delete").otherwise("upsert").alias("_op"),
+        F.coalesce(skip, error).alias("_message"),
     )
-    rows = index_rows(flagged, cfg, keep=["_updated", "_checked", "_gone", "page_no", "pos"])
-    own = F.col("doc_type") == cfg.doc_type
-    return rows.filter(~F.col("_gone") | own).select(
-        F.when(F.col("_gone"), "delete").otherwise("upsert").alias("op"),
+    rows = index_rows(flagged, cfg, keep=["_updated", "_checked", "_op", "_message", "page_no", "pos"], strict=strict)
+    own, stored = F.col("doc_type") == cfg.doc_type, F.col("_op") == "upsert"
+    return rows.filter(stored | own).select(
         "doc_type",
         F.when(own, F.col("_checked")).otherwise(F.col("doc_id")).alias("doc_id"),
         "parent_id",
         F.col("_checked").alias("document_id"),
-        F.when(~F.col("_gone"), F.col("body")).alias("body"),
+        F.when(stored, F.col("body")).otherwise(F.col("_message")).alias("body"),
         F.col("_updated").alias("updated"),
         F.lit(indexed_at).alias("indexed_at"),
         F.col("page_no").cast("bigint").alias("page_no"),
@@ -69,6 +92,7 @@ def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id:
         "source",
         "space_key",
         F.lit(run_id).cast("bigint").alias("run_id"),
+        F.col("_op").alias("op"),
     )
 
 
@@ -78,12 +102,7 @@ def _counters(
     """Counters per space: what the run wrote, and what it takes from the target."""
     keys = ["source", "space_key"]
     written = store.rows().filter(F.col("run_id") == run_id)
-    joined = kinds.join(
-        written.filter("op = 'upsert'").groupBy(*keys).agg(
-            F.count_if(F.col("doc_type") == cfg.doc_type).alias("documents_updated")
-        ),
-        keys, "left",
-    )
+    joined = kinds.select(*keys, "full").join(_written(written, cfg), keys, "left")
     scope = before.filter((F.col("source") == cfg.source) & F.col("doc_type").isin(*cfg.doc_types))
     scope = scope.join(kinds.select(*keys, "full"), keys)
     removed = []
@@ -96,8 +115,28 @@ def _counters(
         removed.append(scope.filter("full").join(fresh, ROW_KEY, "left_anti"))
     rows = reduce(DataFrame.unionByName, [r.select(*keys, "doc_type") for r in removed])
     joined = joined.join(delete_counters(rows, cfg.doc_type), keys, "left")
-    counts = ["documents_updated", "documents_deleted", "comments_deleted"]
-    return joined.select(*keys, "full", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+    ok = F.col("failure").isNull()
+    counted = [F.when(ok, F.coalesce(c, F.lit(0))).otherwise(0).cast("bigint").alias(c) for c in COUNTERS]
+    return joined.select(*keys, "full", *counted, ok.alias("ok"), F.coalesce("failure", "skips").alias("error_message"))
+
+
+def _written(written: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Per space: stored and skipped documents, kinds of skips, and the first failure.
+
+    Rows are first reduced to one per kind and message.
+    """
+    keys = ["source", "space_key"]
+    message = F.when(F.col("op") == "skipped", F.col("body"))
+    failure = F.when(F.col("op") == "error", F.struct("page_no", "pos", "body"))
+    kinds = written.filter(F.col("doc_type") == cfg.doc_type).groupBy(*keys, "op", message.alias("_m")).agg(
+        F.count("*").alias("_n"), F.min(failure).alias("_failure")
+    )
+    return kinds.groupBy(*keys).agg(
+        F.sum(F.when(F.col("op") == "upsert", F.col("_n"))).alias("documents_updated"),
+        F.sum(F.when(F.col("op") == "skipped", F.col("_n"))).alias("documents_with_error"),
+        F.nullif(F.array_join(F.array_sort(F.collect_set("_m")), "\n"), F.lit("")).alias("skips"),
+        F.min("_failure")["body"].alias("failure"),
+    )
 
 
 def sync_once(
@@ -106,8 +145,11 @@ def sync_once(
 ) -> RunReport | None:
     """Read, reshape and store all due spaces, then advance state and activity log.
 
-    ``spaces``: source, space_key of the source. Returns None when nothing is due. A
-    pass that fails is recorded as failed for its spaces and changes nothing else.
+    ``spaces``: source, space_key of the source. Returns None when nothing is due.
+
+    A document that cannot be stored fails its space: the run of that space is recorded
+    as failed and its rows never become visible, the other spaces go on. An error of the
+    whole pass, such as a reader that breaks, fails all of its spaces.
     """
     run_id = time.time_ns() // 1000
     began = time.monotonic()
@@ -125,52 +167,50 @@ def sync_once(
         docs = preprocess(read(kinds), chain)
         if path_type(docs.schema, "spaceKey") is None:
             raise DataShapeError("the reader must provide spaceKey, page_no and pos")
-        rows = target_rows(docs, cfg, now, run_id)
+        rows = target_rows(docs, cfg, now, run_id, strict=False)
         rows.hint("rebalance", "source", "space_key").write.mode("append").partitionBy(*ROWS_PARTITIONS).parquet(
             store.path("rows")
         )
         before = store.current(columns=[], runs=before_runs)
         counted = _counters(store, cfg, before, kinds, run_id, some_full=full > 0, some_partial=full < total)
-        runs = store.save(_run_rows(counted, now, began, None), "reports", run_id)
+        runs = store.save(_run_rows(counted, now, began), "reports", run_id)
     except Exception as error:  # noqa: BLE001 - any failure becomes the result of the run
         lines = str(error).strip().splitlines()
         failure = lines[0] if lines else type(error).__name__
-        zero = F.lit(0).cast("bigint")
-        counts = [zero.alias(c) for c in ("documents_updated", "documents_deleted", "comments_deleted")]
-        failed = kinds.select("source", "space_key", "full", *counts)
-        runs = store.save(_run_rows(failed, now, began, failure), "reports", run_id)
+        failed = kinds.select(
+            "source", "space_key", "full", *[F.lit(0).cast("bigint").alias(c) for c in COUNTERS],
+            F.lit(False).alias("ok"), F.lit(failure).alias("error_message"),
+        )
+        runs = store.save(_run_rows(failed, now, began), "reports", run_id)
     sinks.append_activity(act.activity_row(runs), store.path("activity"))
-    changed = _next_state(store, state, kinds, runs, cfg, now, run_id, failure is None)
+    changed = _next_state(store, state, kinds, runs, cfg, now, run_id)
     store.write_state(changed, cfg.source, run_id)
     if failure is None:
-        # The row that makes the run count comes last.
-        runs.select("source", "space_key", F.lit(run_id).alias("run_id"), "full").coalesce(1).write.mode(
+        # The rows that make the run count come last.
+        runs.filter("ok").select("source", "space_key", F.lit(run_id).alias("run_id"), "full").coalesce(1).write.mode(
             "append"
         ).parquet(store.path("runs"))
     return RunReport(run_id, runs)
 
 
-def _run_rows(counted: DataFrame, now: datetime, began: float, failure: str | None) -> DataFrame:
+def _run_rows(counted: DataFrame, now: datetime, began: float) -> DataFrame:
     return counted.select(
         "*",
-        F.lit(0).cast("bigint").alias("documents_with_error"),
         F.lit(now).alias("start_date"),
-        F.lit(failure is None).alias("ok"),
-        F.lit(failure).cast("string").alias("error_message"),
         F.lit(int((time.monotonic() - began) * 1000)).cast("bigint").alias("time_elapsed"),
     )
 
 
-def _next_state(store, state, kinds, runs, cfg, now, run_id, ok) -> DataFrame:
+def _next_state(store, state, kinds, runs, cfg, now, run_id) -> DataFrame:
     keys = ["source", "space_key"]
     started = runs.select(*keys, F.lit(st.LAST_START).alias("property"), F.lit(now).alias("value"))
     changes = started.unionByName(st.finish(runs, now, cfg.full_update_period))
-    if ok and cfg.read_mode.incremental:
+    if cfg.read_mode.incremental:
         read = store.rows().filter((F.col("run_id") == run_id) & (F.col("doc_type") == cfg.doc_type)).select(
-            *keys, "page_no", "pos", "updated", F.lit(True).alias("reachable"), F.lit(True).alias("wrote")
+            *keys, "page_no", "pos", "updated", (F.col("op") != "skipped").alias("reachable"), F.lit(True).alias("wrote")
         )
         ends = watermark_advance(read).join(kinds.select(*keys, "updated_after"), keys, "left")
-        ends = ends.join(runs.select(*keys, "documents_updated"), keys, "left")
+        ends = ends.join(runs.filter("ok").select(*keys, "documents_updated"), keys)
         bumped = watermark_bump(F.col("updated_after"), F.col("watermark"), F.col("documents_updated"))
         changes = changes.unionByName(ends.select(*keys, F.lit(st.WATERMARK).alias("property"), bumped.alias("value")))
     return st.state_put(state, changes)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from syncspark.operators.joins import keyed_join
+from syncspark.sources.details import SKIPPED
 from syncspark.sources.html import html_extract
 from syncspark.sources.sitemap import read_sitemap, website_documents
 
@@ -26,6 +27,6 @@ def website(
     )
     is_html = F.lit(True) if kind is None else F.contains(kind, F.lit("text/html"))
     errors = keyed_join(docs, pages.filter(is_html).select("url"), ["url"], "left_anti").select(
-        "id", "url", F.lit("detail processing problem, document skipped: not found").alias("message")
+        "id", "url", F.lit(SKIPPED).alias("message")
     )
     return found, errors

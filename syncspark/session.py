@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where the split costs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

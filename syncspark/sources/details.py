@@ -16,11 +16,21 @@ def enrich_details(docs: DataFrame, details: DataFrame, keys: list[str]) -> tupl
     """
     marked = reachable(docs, details, keys)
     errors = marked.filter(~F.col("reachable")).select(
-        *keys, F.lit("detail processing problem, document skipped: not found").alias("message")
+        *keys, F.lit(SKIPPED).alias("message")
     )
     return marked.filter("reachable").drop("reachable"), errors
 
 
+SKIPPED = "detail processing problem, document skipped: not found"
+
+
+def mark_skipped(docs: DataFrame, details: DataFrame, keys: list[str]) -> DataFrame:
+    """All documents with ``detail``; those not found carry a ``skip_reason``, which a
+    pass counts as an error instead of storing the document."""
+    marked = reachable(docs, details, keys)
+    return marked.withColumn("skip_reason", F.when(~F.col("reachable"), F.lit(SKIPPED))).drop("reachable")
+
+
 def reachable(docs: DataFrame, details: DataFrame, keys: list[str]) -> DataFrame:
     """All documents with ``detail`` and whether it could be had.
 

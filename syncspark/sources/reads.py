@@ -34,7 +34,7 @@ def scan_updated_per_space(docs: DataFrame, updated: str, watermarks: DataFrame)
     ``watermarks``: space_key, updated_after, one row per space, null for a full read.
     """
     marks = watermarks.select("space_key", F.col("updated_after").alias("_after"))
-    joined = keyed_join(docs, marks, ["space_key"], "inner")
+    joined = keyed_join(docs, marks, ["space_key"], "inner", hot=True)
     return joined.filter(F.col("_after").isNull() | (F.col(updated) >= F.col("_after"))).drop("_after")
 
 
@@ -83,7 +83,7 @@ def scan_pages(pages: DataFrame, documents: str = "documents") -> DataFrame:
     count = F.size(documents)
     stop = (count == 0) | F.coalesce(F.col("total") <= F.col("start_at") + count, F.lit(False))
     last = pages.groupBy("space_key").agg(F.min(F.when(stop, F.col("page_no"))).alias("_last"))
-    reached = keyed_join(pages, last, ["space_key"], "left").filter(
+    reached = keyed_join(pages, last, ["space_key"], "left", hot=True).filter(
         F.col("_last").isNull() | (F.col("page_no") <= F.col("_last"))
     )
     return reached.select("space_key", "page_no", F.posexplode(documents).alias("pos", "document"))

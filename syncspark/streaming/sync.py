@@ -40,7 +40,7 @@ def continuous_sync(
         rows = target_rows(batch, cfg, clock(), batch_id)
         spark = batch.sparkSession
         (
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            rows.hint("rebalance", "source", "space_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*ROWS_PARTITIONS).parquet(store.path("rows"))
         )
         stored = spark.read.schema(store.rows().schema).parquet(store.path("rows")).filter(F.col("run_id") == batch_id)

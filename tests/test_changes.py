@@ -88,7 +88,7 @@ def test_salted_join_equals_plain_join(spark, monkeypatch, how):
     right = spark.range(0, 30).select((F.col("id") * 2).alias("k"), F.col("id").alias("w"))
     plain = left.join(right, ["k"], how)
     monkeypatch.setattr(joins, "is_small", lambda *a, **k: False)
-    salted = joins.keyed_join(left, right, ["k"], how)
+    salted = joins.keyed_join(left, right, ["k"], how, hot=True)
     assert salted.columns == plain.columns
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
     sizes = left.withColumn("p", F.spark_partition_id()).join(right, "k").groupBy("k").count()

@@ -11,6 +11,7 @@ from syncspark.operators import state as st
 from syncspark.plans.manage import force_run, pause_source, resume_source, source_report
 from syncspark.plans.store import SyncStore
 from syncspark.plans.sync import sync_once, utc
+from syncspark.sources.details import mark_skipped
 
 SCHEMA = (
     "key string, spaceKey string, page_no int, pos int, fields struct<updated:string, deleted:string, title:string, "
@@ -149,14 +150,54 @@ def test_failed_run_changes_no_rows(store):
     last = store.activity().orderBy(F.desc("start_date")).first()
     assert last.result == "ERROR" and "last update time" in last.error_message
     # Without a full period a failed full run is forced again.
-    sync.cfg.document_id = "gone"
     with pytest.raises(AssertionError):
-        sync.run(FIRST, full=True)
-    sync.cfg.document_id = "key"
+        sync.run([{**FIRST[0], "key": None}], full=True)
     sync.run(FIRST)
     assert sync.asked["AB"][0] is True
 
 
+def test_a_bad_document_fails_only_its_space(store):
+    sync = Sync(store, "child")
+    good, bad = doc("D-1", "02:00:00", ["c1"]), doc("Z-1", "02:00:00", [None], space="ZZ")
+    frame = store.spark.createDataFrame([json.dumps(d) for d in (good, bad)], "string").select(
+        F.from_json("value", SCHEMA).alias("d")
+    ).select("d.*")
+    report = sync_once(store, sync.cfg, sync.spaces, lambda kinds: frame, T0)
+    rows = {r.space_key: (r.ok, r.documents_updated, r.error_message) for r in report.runs.collect()}
+    assert rows == {"AB": (True, 1, None), "ZZ": (False, 0, "comment id not found in data of document Z-1")}
+    assert sync.keys() == {("document", "D-1"), ("comment", "c1")}
+    assert sync.watermark("AB") == "06:00:00" and sync.watermark("ZZ") is None
+
+
+def test_broken_reader_fails_the_pass(store):
+    sync = Sync(store, "none")
+
+    def broken(kinds):
+        raise OSError("no answer")
+
+    report = sync_once(store, sync.cfg, sync.spaces, broken, T0)
+    assert {(r.ok, r.error_message) for r in report.runs.collect()} == {(False, "no answer")}
+    assert sync.keys() == set()
+
+
+def test_unreachable_details_are_counted_and_removed_by_a_full_run(store):
+    sync = Sync(store, "none")
+    sync.run(FIRST)
+    frame = store.spark.createDataFrame([json.dumps(d) for d in FIRST], "string").select(
+        F.from_json("value", SCHEMA).alias("d")
+    ).select("d.*")
+    details = store.spark.createDataFrame(
+        [("D-1", 200, "x"), ("D-2", 404, None)], "key string, status int, detail string"
+    )
+    spaces = sync.spaces.filter("space_key = 'AB'")
+    force_run(store, "src", spaces, st.FORCE_FULL, sync.now)
+    report = sync_once(store, sync.cfg, spaces, lambda kinds: mark_skipped(frame, details, ["key"]), sync.now + timedelta(hours=1))
+    row = report.runs.first()
+    assert (row.ok, row.documents_updated, row.documents_deleted, row.documents_with_error) == (True, 2, 1, 1)
+    assert "document skipped" in row.error_message
+    assert sync.keys() == {("document", "D-1"), ("document", "D-3")}
+
+
 def test_management(store):
     sync = Sync(store, "none")
     sync.run(FIRST)
