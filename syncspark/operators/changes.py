@@ -158,9 +158,14 @@ def effective_kind(spaces: DataFrame, watermarks: DataFrame) -> DataFrame:
     ``spaces``: source, space_key, full (requested). ``watermarks``: source, space_key,
     watermark, one row per space.
     """
-    joined = spaces.join(watermarks, ["source", "space_key"], "left")
+    return with_effective_kind(spaces.join(watermarks, ["source", "space_key"], "left"))
+
+
+def with_effective_kind(spaces: DataFrame) -> DataFrame:
+    """The same for spaces that have their ``watermark`` at hand."""
     after = F.when(~F.col("full"), F.col("watermark"))
-    return joined.select("source", "space_key", (F.col("full") | F.col("watermark").isNull()).alias("full"), after.alias("updated_after"))
+    full = F.col("full") | F.col("watermark").isNull()
+    return spaces.select("source", "space_key", full.alias("full"), after.alias("updated_after"))
 
 
 def watermark_advance(read: DataFrame) -> DataFrame:

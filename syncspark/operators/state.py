@@ -80,7 +80,14 @@ def full_due(now: datetime, full_period: timedelta, scheduled: bool) -> Column:
 def spaces_due(
     spaces: DataFrame, state: DataFrame, now: datetime, period: timedelta, full_period: timedelta
 ) -> DataFrame:
-    """Spaces to run now, each with ``full`` telling the kind of run.
+    """Spaces to run now, each with ``full`` telling the kind of run."""
+    return planned_runs(spaces, state, now, period, full_period).select("source", "space_key", "full")
+
+
+def planned_runs(
+    spaces: DataFrame, state: DataFrame, now: datetime, period: timedelta, full_period: timedelta
+) -> DataFrame:
+    """Due spaces with ``full`` and the stored ``watermark``.
 
     A column ``next_full_at`` in ``spaces``, the next time of an external calendar,
     replaces the full period. Stopped sources have no due spaces.
@@ -97,7 +104,7 @@ def spaces_due(
         due = due | (F.col(LAST_START) < F.lit(now - period))
     if scheduled or full_period > timedelta(0):
         due = due | full
-    return joined.filter(due).select("source", "space_key", full.alias("full"))
+    return joined.filter(due).select("source", "space_key", full.alias("full"), WATERMARK)
 
 
 def spaces_due_full(spaces: DataFrame, state: DataFrame, now: datetime, full_period: timedelta) -> DataFrame:

@@ -86,16 +86,17 @@ class SyncStore:
         """Runs that make up the target: from the last full run of each space on."""
         runs = self.runs() if runs is None else runs
         base = runs.groupBy("source", "space_key").agg(F.max(F.when(F.col("full"), F.col("run_id"))).alias("_base"))
-        return runs.join(base, ["source", "space_key"], "left").filter(F.col("_base").isNull() | (F.col("run_id") >= F.col("_base"))).select(
-            "source", "space_key", "run_id"
-        ).distinct()
+        alive = F.col("run_id") >= F.coalesce("_base", F.lit(0))
+        live = runs.join(base, ["source", "space_key"]).filter(alive).select("source", "space_key", "run_id").distinct()
+        # True of every run, but only a side with a filter is used to prune partitions.
+        return live.filter("run_id >= 0")
 
     def current(self, columns: list[str] = ("parent_id", "body", "indexed_at"), runs: DataFrame | None = None) -> DataFrame:
         """Rows of the target: the newest version of each key that no later delete hits.
 
         ``columns`` names what is wanted beyond key and scope; the rest is not read.
         """
-        live = self.rows().join(self.live_runs(runs), ["source", "space_key", "run_id"], "left_semi")
+        live = keyed_join(self.rows(), self.live_runs(runs), ["source", "space_key", "run_id"], "left_semi", hot=True)
         held = [c for c in DELETE_SCOPE if c not in ROW_KEY] + list(columns)
         order = F.struct(*ORDER)
         newest = (

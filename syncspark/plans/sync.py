@@ -20,11 +20,10 @@ from syncspark.operators.changes import (
     ROW_KEY,
     delete_counters,
     document_updated,
-    effective_kind,
     require_document_id,
     require_updated,
-    watermark_advance,
     watermark_bump,
+    with_effective_kind,
 )
 from syncspark.operators.activity import COUNTERS
 from syncspark.operators.comments import index_rows, lacks_comment_id
@@ -102,7 +101,7 @@ def _counters(
     """Counters per space: what the run wrote, and what it takes from the target."""
     keys = ["source", "space_key"]
     written = store.rows().filter(F.col("run_id") == run_id)
-    joined = kinds.select(*keys, "full").join(_written(written, cfg), keys, "left")
+    joined = kinds.join(_written(written, cfg), keys, "left")
     scope = before.filter((F.col("source") == cfg.source) & F.col("doc_type").isin(*cfg.doc_types))
     scope = scope.join(kinds.select(*keys, "full"), keys)
     removed = []
@@ -117,25 +116,31 @@ def _counters(
     joined = joined.join(delete_counters(rows, cfg.doc_type), keys, "left")
     ok = F.col("failure").isNull()
     counted = [F.when(ok, F.coalesce(c, F.lit(0))).otherwise(0).cast("bigint").alias(c) for c in COUNTERS]
-    return joined.select(*keys, "full", *counted, ok.alias("ok"), F.coalesce("failure", "skips").alias("error_message"))
+    return joined.select(
+        *keys, "full", *counted, ok.alias("ok"), F.coalesce("failure", "skips").alias("error_message"),
+        F.when(ok, watermark_bump(F.col("updated_after"), F.col("watermark"), F.col("documents_updated"))).alias("watermark"),
+    )
 
 
 def _written(written: DataFrame, cfg: SyncConfig) -> DataFrame:
-    """Per space: stored and skipped documents, kinds of skips, and the first failure.
+    """Per space: stored and skipped documents, kinds of skips, the first failure, and
+    the update time of the last stored document in page order.
 
     Rows are first reduced to one per kind and message.
     """
     keys = ["source", "space_key"]
     message = F.when(F.col("op") == "skipped", F.col("body"))
     failure = F.when(F.col("op") == "error", F.struct("page_no", "pos", "body"))
+    last = F.when(F.col("op").isin("upsert", "delete"), F.struct("page_no", "pos", "updated"))
     kinds = written.filter(F.col("doc_type") == cfg.doc_type).groupBy(*keys, "op", message.alias("_m")).agg(
-        F.count("*").alias("_n"), F.min(failure).alias("_failure")
+        F.count("*").alias("_n"), F.min(failure).alias("_failure"), F.max(last).alias("_last")
     )
     return kinds.groupBy(*keys).agg(
         F.sum(F.when(F.col("op") == "upsert", F.col("_n"))).alias("documents_updated"),
         F.sum(F.when(F.col("op") == "skipped", F.col("_n"))).alias("documents_with_error"),
         F.nullif(F.array_join(F.array_sort(F.collect_set("_m")), "\n"), F.lit("")).alias("skips"),
         F.min("_failure")["body"].alias("failure"),
+        F.max("_last")["updated"].alias("watermark"),
     )
 
 
@@ -154,10 +159,10 @@ def sync_once(
     run_id = time.time_ns() // 1000
     began = time.monotonic()
     state = store.state(cfg.source)
-    due = st.spaces_due(spaces, state, now, cfg.update_period, cfg.full_update_period)
+    due = st.planned_runs(spaces, state, now, cfg.update_period, cfg.full_update_period)
     if not cfg.read_mode.incremental:
         due = due.withColumn("full", F.lit(True))
-    kinds = store.save(effective_kind(due, st.state_get(state, st.WATERMARK)), "plans", run_id)
+    kinds = store.save(with_effective_kind(due), "plans", run_id)
     total, full = kinds.agg(F.count("*"), F.count_if("full")).first()
     if not total:
         return None
@@ -179,12 +184,11 @@ def sync_once(
         failure = lines[0] if lines else type(error).__name__
         failed = kinds.select(
             "source", "space_key", "full", *[F.lit(0).cast("bigint").alias(c) for c in COUNTERS],
-            F.lit(False).alias("ok"), F.lit(failure).alias("error_message"),
+            F.lit(False).alias("ok"), F.lit(failure).alias("error_message"), F.lit(None).cast("timestamp").alias("watermark"),
         )
         runs = store.save(_run_rows(failed, now, began), "reports", run_id)
     sinks.append_activity(act.activity_row(runs), store.path("activity"))
-    changed = _next_state(store, state, kinds, runs, cfg, now, run_id)
-    store.write_state(changed, cfg.source, run_id)
+    store.write_state(_next_state(state, runs, cfg, now), cfg.source, run_id)
     if failure is None:
         # The rows that make the run count come last.
         runs.filter("ok").select("source", "space_key", F.lit(run_id).alias("run_id"), "full").coalesce(1).write.mode(
@@ -201,18 +205,14 @@ def _run_rows(counted: DataFrame, now: datetime, began: float) -> DataFrame:
     )
 
 
-def _next_state(store, state, kinds, runs, cfg, now, run_id) -> DataFrame:
+def _next_state(state: DataFrame, runs: DataFrame, cfg: SyncConfig, now: datetime) -> DataFrame:
     keys = ["source", "space_key"]
-    started = runs.select(*keys, F.lit(st.LAST_START).alias("property"), F.lit(now).alias("value"))
-    changes = started.unionByName(st.finish(runs, now, cfg.full_update_period))
+    changes = runs.select(*keys, F.lit(st.LAST_START).alias("property"), F.lit(now).alias("value")).unionByName(
+        st.finish(runs, now, cfg.full_update_period)
+    )
     if cfg.read_mode.incremental:
-        read = store.rows().filter((F.col("run_id") == run_id) & (F.col("doc_type") == cfg.doc_type)).select(
-            *keys, "page_no", "pos", "updated", (F.col("op") != "skipped").alias("reachable"), F.lit(True).alias("wrote")
-        )
-        ends = watermark_advance(read).join(kinds.select(*keys, "updated_after"), keys, "left")
-        ends = ends.join(runs.filter("ok").select(*keys, "documents_updated"), keys)
-        bumped = watermark_bump(F.col("updated_after"), F.col("watermark"), F.col("documents_updated"))
-        changes = changes.unionByName(ends.select(*keys, F.lit(st.WATERMARK).alias("property"), bumped.alias("value")))
+        marks = runs.filter("watermark IS NOT NULL")
+        changes = changes.unionByName(marks.select(*keys, F.lit(st.WATERMARK).alias("property"), F.col("watermark").alias("value")))
     return st.state_put(state, changes)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -10,8 +10,10 @@ from syncspark.operators.joins import keyed_join
 
 
 def in_type_of(df: DataFrame, column: str, at: datetime) -> Column:
-    """A bound in the column's own type, so that a comparison reaches the scan."""
+    """A bound, in UTC, of the column's own type, so that a comparison reaches the scan."""
     kind = df.schema[column].dataType
+    if at.tzinfo is not None:
+        at = at.astimezone(timezone.utc).replace(tzinfo=None)
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return F.lit(at.isoformat(sep=" ")).cast(kind)
     raise TypeError(f"column {column} is no point in time but {kind.simpleString()}")

@@ -131,7 +131,7 @@ def s7_scan_pages(spark, d):
 SELECT o_orderkey, epoch_us(o_orderdate) // 1000 AS updated_ms FROM orders WHERE o_orderdate >= TIMESTAMP '1997-06-01'
 """)
 def s8_scan_updated(spark, d):
-    found = reads.scan_updated(table(spark, d, "orders"), "o_orderdate", at(1997, 6, 1).replace(tzinfo=None))
+    found = reads.scan_updated(table(spark, d, "orders"), "o_orderdate", at(1997, 6, 1))
     return found.select("o_orderkey", millis(F.col("o_orderdate")).alias("updated_ms"))
 
 
@@ -146,10 +146,10 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '1992-01-01' GROUP BY 1
 def s9_scan_updated_slice(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     span = timedelta(days=10)
-    one = reads.scan_updated_slice(orders, "o_orderdate", None, span, initial=at(1997, 6, 1).replace(tzinfo=None))
+    one = reads.scan_updated_slice(orders, "o_orderdate", None, span, initial=at(1997, 6, 1))
     one = one.select(F.lit("one").alias("read"), "o_orderkey")
     start = at(1992, 1, 1)
-    later = reads.scan_updated(orders, "o_orderdate", start.replace(tzinfo=None))
+    later = reads.scan_updated(orders, "o_orderdate", start)
     number = reads.assign_slice(F.col("o_orderdate"), start, span).cast("string")
     all_slices = later.select(F.concat(F.lit("slice "), F.lpad(number, 3, "0")).alias("read"), "o_orderkey")
     return one.unionByName(all_slices).groupBy("read").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
