@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,27 @@ def local_session(
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever it runs from.
+
+    Called by the few operators that run Python in tasks; the archive is made and sent
+    once per application.
+    """
+    app = spark.conf.get("spark.app.id", "")
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="syncspark-")) / "syncspark.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for file in sorted(root.rglob("*.py")):
+            target.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 

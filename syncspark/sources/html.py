@@ -12,9 +12,10 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from syncspark.errors import ConfigError
+from syncspark.session import ship_package
 
 NOT_FOUND = 404
 
@@ -277,6 +278,7 @@ def field_value(page: PageParser, rule: HtmlField, selector) -> str | None:
 
 def extract_udf(mapping: dict[str, HtmlField]):
     """Vectorised function from HTML text to a struct of the mapped fields."""
+    ship_package(SparkSession.active())
     rules = {name: HtmlField.of(entry) for name, entry in mapping.items()}
     selectors = {n: compile_selector(r.selector) if r.selector else None for n, r in rules.items()}
     schema = T.StructType([T.StructField(name, T.StringType()) for name in rules])

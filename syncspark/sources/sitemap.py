@@ -12,7 +12,7 @@ from __future__ import annotations
 import gzip
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from syncspark.functions.dates import format_iso, sitemap_lastmod
 from syncspark.functions.urls import (
@@ -25,6 +25,7 @@ from syncspark.functions.urls import (
     valid_url,
 )
 from syncspark.operators.changes import latest
+from syncspark.session import ship_package
 
 # Fixed value: URLs taken from a text sitemap, a feed or an index.
 MAX_URLS = 50_000
@@ -194,6 +195,7 @@ def _gunzip(batch: pd.Series) -> pd.Series:
 def gunzip(content: Column) -> Column:
     """Text of gzip bytes. Files with the usual suffix need no such step: Spark's text
     source decompresses them while reading."""
+    ship_package(SparkSession.active())
     return F.pandas_udf(_gunzip, "string")(content)
 
 
