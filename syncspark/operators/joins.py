@@ -35,8 +35,8 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot
         return left.join(F.broadcast(right), keys, how)
     if not hot:
         return left.join(right, keys, how)
-    sortable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in sortable]) + F.spark_partition_id(), F.lit(SALTS))
+    plain = [f.name for f in left.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType, T.TimestampType, T.TimestampNTZType))]
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]) + F.spark_partition_id(), F.lit(SALTS))
     salted_left = left.withColumn("_salt", salt.cast("int"))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")

@@ -156,7 +156,7 @@ _EDGES = "".join(chr(code) for code in range(0x21))
 
 def clean_text(text: str) -> str:
     """Collapsed white space, non-breaking spaces as plain ones, trimmed."""
-    return _SPACES.sub(" ", text).replace(" ", " ").strip(_EDGES)
+    return _SPACES.sub(" ", text).replace("\u00a0", " ").strip(_EDGES)
 
 
 @dataclass

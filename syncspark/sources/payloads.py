@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from syncspark.functions.paths import path_type, struct_path
+from syncspark.functions.paths import struct_path
 from syncspark.functions.text import node_int
 
 
@@ -45,9 +45,10 @@ def extract_documents(
     parsed = F.from_json(F.col(column), response, {"mode": "PERMISSIVE"})
     staged = payloads.select(*carry, F.col(column), parsed.alias("_r"))
     docs = F.col("_r") if docs_path is None else struct_path(response, docs_path, F.col("_r"))
-    place = "$" + "".join(f".{p}" for p in docs_path.split(".")) if docs_path else "$"
-    found = F.get_json_object(column, place)
-    wrong = docs.isNull() | found.isNull() | ~F.startswith(F.ltrim(found), F.lit("["))
+    wrong = docs.isNull()
+    if docs_path is None:
+        # A single object at the root would pass for an array of one.
+        wrong = wrong | ~F.startswith(F.ltrim(column), F.lit("["))
     checked = F.when(wrong, F.raise_error(F.lit("response holds no array of documents"))).otherwise(docs)
     held = {name: f"_root_{i}" for i, name in enumerate(roots)}
     rows = staged.select(
@@ -78,7 +79,3 @@ def extract_spaces(payloads: DataFrame, path: str | None = None, column: str = "
         .otherwise(F.raise_error(F.lit("response holds no list of spaces")))
     )
     return payloads.select(F.explode(keys).alias("space_key")).distinct()
-
-
-def declared(docs: DataFrame, path: str) -> bool:
-    return path_type(docs.schema, path) is not None

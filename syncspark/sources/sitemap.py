@@ -78,7 +78,7 @@ def xml_kind(body: Column) -> Column:
 
 
 def _from_xml(body: Column, schema: str) -> Column:
-    text = F.regexp_replace(body, "^﻿", "")
+    text = F.regexp_replace(body, "^\ufeff", "")
     return F.from_xml(text, schema, {"mode": "FAILFAST", "ignoreSurroundingSpaces": "true"})
 
 
@@ -119,7 +119,7 @@ def rss_entries(body: Column) -> Column:
 
 def text_entries(body: Column) -> Column:
     """Non-empty lines."""
-    lines = F.split(F.regexp_replace(body, "^﻿", ""), r"\r\n|\n|\r")
+    lines = F.split(F.regexp_replace(body, "^\ufeff", ""), r"\r\n|\n|\r")
     none = F.lit(None).cast("string")
     return _entries(F.filter(lines, lambda line: line != ""), lambda i: i, lambda i: none)
 

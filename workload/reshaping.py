@@ -30,8 +30,8 @@ def p1_map_fields(spark, d):
 def _customers(spark, d):
     return table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"),
-        F.struct(F.col("c_name").alias("key7"), F.col("c_mktsegment").alias("key8"), text("c_nationkey").alias("key9")).alias("obj"),
-        F.create_map(F.lit("key7"), F.col("c_name"), F.lit("key8"), F.col("c_mktsegment"), F.lit("key9"), text("c_nationkey")).alias("map"),
+        F.struct(F.col("c_name").alias("red"), F.col("c_mktsegment").alias("blue"), text("c_nationkey").alias("pink")).alias("obj"),
+        F.create_map(F.lit("red"), F.col("c_name"), F.lit("blue"), F.col("c_mktsegment"), F.lit("pink"), text("c_nationkey")).alias("map"),
         F.array(
             F.struct(F.col("c_name").alias("name"), F.lit("a").alias("kind")),
             F.struct(F.col("c_mktsegment").alias("name"), F.lit("b").alias("kind")),
@@ -43,7 +43,7 @@ def _customers(spark, d):
 SELECT c_custkey AS id, c_mktsegment AS s7, c_name AS s8, c_mktsegment AS m7, c_name AS m8, 2 AS kept FROM customer
 """)
 def p2_value_filter_object(spark, d):
-    renames = {"key7": "key8", "key8": "key7"}
+    renames = {"red": "blue", "blue": "red"}
     df = _customers(spark, d)
     out = df.select(
         "id",
@@ -51,8 +51,8 @@ def p2_value_filter_object(spark, d):
         mp.value_filter(F.col("map"), df.schema["map"].dataType, renames).alias("m"),
     )
     return out.select(
-        "id", F.col("s.key7").alias("s7"), F.col("s.key8").alias("s8"), F.col("m.key7").alias("m7"),
-        F.col("m.key8").alias("m8"), F.size("m").alias("kept"),
+        "id", F.col("s.red").alias("s7"), F.col("s.blue").alias("s8"), F.col("m.red").alias("m7"),
+        F.col("m.blue").alias("m8"), F.size("m").alias("kept"),
     )
 
 
@@ -91,12 +91,12 @@ def p5_null_omission(spark, d):
     )
 
 
-@query("SELECT c_custkey AS id, 'key7,key9' AS kept, 3 AS unchanged FROM customer")
+@query("SELECT c_custkey AS id, 'pink,red' AS kept, 3 AS unchanged FROM customer")
 def p6_filter_keys(spark, d):
     df = _customers(spark, d)
     return df.select(
         "id",
-        F.array_join(F.array_sort(F.map_keys(mp.filter_keys(F.col("map"), ["key7", "key9", "other"]))), ",").alias("kept"),
+        F.array_join(F.array_sort(F.map_keys(mp.filter_keys(F.col("map"), ["red", "pink", "other"]))), ",").alias("kept"),
         F.size(mp.filter_keys(F.col("map"), [])).alias("unchanged"),
     )
 
