@@ -54,7 +54,7 @@ def thread_config(mode: str) -> SyncConfig:
         source="chat",
         document_id="id",
         read_mode="simple",
-        fields={"thread": "id"} if mode != "embedded" else {"thread": "id", "part": "part", "piece": "piece"},
+        fields={"thread": "id"},
         comment_mode=mode,
         comments="comments",
         comment_id="comment_id",

@@ -21,8 +21,9 @@ def clean(expr: str) -> str:
 
 
 def unescape(expr: str) -> str:
-    for name, char in (("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        expr = f"replace({expr}, '{name}', '{char}')"
+    """DuckDB: decoded references; the last one of a text may lack its semicolon."""
+    for name, char in (("nbsp", " "), ("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        expr = f"replace(regexp_replace({expr}, '&{name}$', '&{name};'), '&{name};', '{char}')"
     return expr
 
 
@@ -123,7 +124,7 @@ def h9_selectors(spark, d):
 
 
 @query(f"""
-WITH p AS (SELECT *, 'http://site.org/' || regexp_replace(url, '^https?://', '') AS u FROM pages)
+WITH p AS (SELECT *, 'http://site.org/' || page_id || '/' || regexp_replace(url, '^https?://', '') AS u FROM pages)
 SELECT {DOC_ID_SQL} AS id, u AS url, {clean(part('title'))} AS title,
        CASE WHEN page_id % 20 <= 10 THEN page_id % 20 / CAST(10 AS DOUBLE) ELSE 0.5 END AS priority, 'MAIN' AS space_key
 FROM p WHERE page_id % 10 < 8

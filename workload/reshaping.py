@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from syncspark.config import FieldMapping
 from syncspark.functions.paths import put_path
 from syncspark.operators import comments as cm, mapping as mp, preprocess as pp
 from workload.base import query, table, text
@@ -187,16 +188,31 @@ def c1_mode_none(spark, d):
 
 
 @query("""
-SELECT CAST(conv_id AS VARCHAR) AS document_id, 'C' || (conv_id % 7) AS space_key, turn // 10000 AS part, 0 AS piece,
-       count(*) AS n, string_agg(role, ',' ORDER BY turn) AS authors, md5(string_agg(text, '|' ORDER BY turn)) AS digest
-FROM conversations GROUP BY conv_id, turn // 10000
+SELECT CAST(conv_id AS VARCHAR) AS document_id, 'C' || (conv_id % 7) AS space_key, count(*) AS n,
+       count(*) FILTER (role = 'user') AS by_user, CAST(sum(length(text)) AS BIGINT) AS chars,
+       CAST(sum(turn * length(text)) AS BIGINT) AS weighted, TRUE AS in_order
+FROM conversations GROUP BY conv_id
 """)
 def c2_mode_embedded(spark, d):
-    out = cm.map_documents(thread_docs(spark, d), thread_config("embedded"))
-    return out.select(
-        "document_id", "space_key", "part", "piece", F.size("all_comments").cast("bigint").alias("n"),
-        F.array_join("all_comments.comment_author.username", ",").alias("authors"),
-        F.md5(F.array_join("all_comments.comment_body", "|").cast("binary")).alias("digest"),
+    cfg = thread_config("embedded")
+    cfg.comment_fields["turn"] = FieldMapping("turn")
+    out = cm.map_documents(thread_docs(spark, d), cfg)
+    # Numbers of each array first, then of the document: a huge one has several arrays.
+    length = F.transform("all_comments", lambda c: F.struct(c["turn"].alias("t"), F.length(c["comment_body"]).alias("l")))
+    turns = F.col("all_comments.turn")
+
+    def total(value):
+        return F.aggregate(length, F.lit(0).cast("bigint"), lambda acc, x: acc + value(x))
+
+    arrays = out.select(
+        "document_id", "space_key", F.size("all_comments").alias("n"),
+        F.size(F.filter("all_comments", lambda c: c["comment_author"]["username"] == "user")).alias("u"),
+        total(lambda x: x["l"]).alias("c"), total(lambda x: x["t"] * x["l"]).alias("w"),
+        (turns == F.array_sort(turns)).alias("sorted"),
+    )
+    return arrays.groupBy("document_id", "space_key").agg(
+        F.sum("n").alias("n"), F.sum("u").alias("by_user"), F.sum("c").alias("chars"), F.sum("w").alias("weighted"),
+        F.bool_and("sorted").alias("in_order"),
     )
 
 
@@ -234,9 +250,10 @@ SELECT doc_type, doc_id, parent_id, body FROM (
 def c5_comment_body(spark, d):
     cfg = thread_config("child")
     cfg.comment_fields = {"comment_author": cfg.comment_fields["comment_author"]}
-    rows = cm.index_rows(thread_docs(spark, d), cfg, keep=["part", "piece"])
-    first = (F.col("part") == 0) & (F.col("piece") == 0)
-    return rows.filter((F.col("doc_type") == "comment") | first).select("doc_type", "doc_id", "parent_id", "body")
+    rows = cm.index_rows(thread_docs(spark, d), cfg).select("doc_type", "doc_id", "parent_id", "body")
+    # Every piece of a huge document repeats the document's own row.
+    own = F.col("doc_type") == "document"
+    return rows.filter(~own).unionByName(rows.filter(own).dropDuplicates(["doc_id"]))
 
 
 @query("""
@@ -251,15 +268,26 @@ def c6_required_comment_id(spark, d):
 
 
 @query("""
-SELECT l_orderkey AS id, l_linenumber // 10000 AS part, count(*) AS n,
-       string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS lines
-FROM lineitem GROUP BY l_orderkey, l_linenumber // 10000
+SELECT l_orderkey AS id, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS positions, CAST(sum(l_partkey) AS BIGINT) AS parts,
+       min(l_linenumber) AS first_line, max(l_linenumber) AS last_line, TRUE AS in_order
+FROM lineitem GROUP BY l_orderkey
 """)
 def c7_collect_children(spark, d):
     lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), "l_linenumber", "l_partkey")
     nested = cm.collect_children(lines, "id", "l_linenumber", ["l_partkey"], "lines")
-    joined = F.transform("lines", lambda x: F.concat(x["l_linenumber"].cast("string"), F.lit(":"), x["l_partkey"].cast("string")))
-    return nested.select("id", "part", F.size("lines").cast("bigint").alias("n"), F.array_join(joined, ",").alias("lines"))
+    zero = F.lit(0).cast("bigint")
+    # Numbers of each array first, then of the parent: a huge one has several arrays.
+    arrays = nested.select(
+        "id", F.size("lines").alias("n"),
+        F.aggregate("lines.l_linenumber", zero, lambda acc, x: acc + x).alias("p"),
+        F.aggregate("lines.l_partkey", zero, lambda acc, x: acc + x).alias("k"),
+        F.array_min("lines.l_linenumber").alias("lo"), F.array_max("lines.l_linenumber").alias("hi"),
+        (F.col("lines.l_linenumber") == F.array_sort("lines.l_linenumber")).alias("sorted"),
+    )
+    return arrays.groupBy("id").agg(
+        F.sum("n").alias("n"), F.sum("p").alias("positions"), F.sum("k").alias("parts"), F.min("lo").alias("first_line"),
+        F.max("hi").alias("last_line"), F.bool_and("sorted").alias("in_order"),
+    )
 
 
 @query("""

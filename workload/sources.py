@@ -229,7 +229,7 @@ def listed_pages(spark, d) -> DataFrame:
     return table(spark, d, "pages").select(
         "page_id",
         F.floor(F.col("page_id") / 100).cast("bigint").alias("sitemap"),
-        F.concat(F.lit("http://site.org/"), path).alias("url"),
+        F.concat(F.lit("http://site.org/"), text("page_id"), F.lit("/"), path).alias("url"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 300).cast("int")).cast("string").alias("day"),
         (F.col("page_id") % 20 / 10).cast("string").alias("prio"),
     )
@@ -291,7 +291,7 @@ def sitemap_sql(suffix: str, keep: str, modified: str, freq: str = "CAST(NULL AS
     return f"""
 SELECT 'http://Site.org/map' || (page_id // 100) || '{suffix}' AS sitemap_url,
        row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) - 1 AS pos,
-       'http://site.org/' || regexp_replace(url, '^https?://', '') AS url,
+       'http://site.org/' || page_id || '/' || regexp_replace(url, '^https?://', '') AS url,
        {modified} AS modified_ms, {freq} AS change_freq, {prio} AS priority, TRUE AS valid
 FROM pages WHERE {keep}
 """
@@ -350,7 +350,7 @@ def s18_sitemap_rss(spark, d):
 @query("""
 SELECT 'http://Site.org/map' || (page_id // 100) || '-index.xml' AS sitemap_url,
        row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) - 1 AS pos,
-       'http://site.org/' || regexp_replace(url, '^https?://', '') || '.gz' AS url,
+       'http://site.org/' || page_id || '/' || regexp_replace(url, '^https?://', '') || '.gz' AS url,
        CASE WHEN page_id % 2 = 0 THEN epoch_us(TIMESTAMP '2024-01-01' + to_days(CAST(page_id % 300 AS INTEGER))) // 1000 + 66197000 END AS modified_ms
 FROM pages WHERE page_id % 10 < 9
 """)
@@ -367,7 +367,7 @@ DOC_ID_SQL = r"translate(replace(u, '://', '_'), ':.=\/?&%*$#@+<>', '___________
 
 
 @query(f"""
-WITH e AS (SELECT page_id, page_id // 100 AS s, 'http://site.org/' || regexp_replace(url, '^https?://', '') AS u FROM pages WHERE page_id % 10 < 8),
+WITH e AS (SELECT page_id, page_id // 100 AS s, 'http://site.org/' || page_id || '/' || regexp_replace(url, '^https?://', '') AS u FROM pages WHERE page_id % 10 < 8),
 twice AS (SELECT s, u, page_id, page_id AS pos FROM e UNION ALL SELECT s, u || '.JPG', page_id, page_id + 1000000 FROM e
           UNION ALL SELECT s, u, page_id + 1, page_id + 2000000 FROM e WHERE page_id % 2 = 0)
 SELECT {DOC_ID_SQL} AS id, u AS url, strftime(TIMESTAMP '2024-01-01' + to_days(CAST(p % 300 AS INTEGER)), '%Y-%m-%dT00:00:00.0+0000') AS last_modified,
