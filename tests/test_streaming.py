@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +24,10 @@ def write_batch(folder, number, docs):
             "id": key, "spaceKey": "S" + key[0], "updated": f"2024-01-01T00:{minute:02d}:00Z", "kind": kind,
             "notes": [{"id": f"{key}/{n}", "text": f"m{minute}"} for n in notes], "page_no": number, "pos": pos,
         }))
-    (folder / f"b{number}.json").write_text("\n".join(lines))
+    file = folder / f"b{number}.json"
+    file.write_text("\n".join(lines))
+    # The stream takes files by their time; equal times would leave the order open.
+    os.utime(file, (1_700_000_000 + number, 1_700_000_000 + number))
 
 
 BATCHES = [
