@@ -88,8 +88,9 @@ def u12_sync_records(spark, d):
 
 def event_stream(spark, d) -> DataFrame:
     schema = table(spark, d, "events").schema
-    reader = prepare(spark).readStream.schema(schema).option("pathGlobFilter", "events*.parquet").option("maxFilesPerTrigger", 100)
-    return reader.parquet(d)
+    # As a pattern the path may name one file as well as a folder of many. All of them
+    # are one batch, as their order is not the order of the events.
+    return prepare(spark).readStream.schema(schema).parquet(f"{d}/event[s].parquet")
 
 
 def feed_stream(spark, d) -> DataFrame:
