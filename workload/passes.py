@@ -13,7 +13,7 @@ from syncspark.plans.sync import sync_once
 from syncspark.session import prepare, shared_folder
 from syncspark.sources.reads import scan_updated_per_space
 from syncspark.streaming import sync as stream
-from workload.base import at, millis, query, table, text
+from workload.base import millis, query, table
 from workload.changes import CONFIG, CUT, RUN_START, feed, shown
 
 PASS_CONFIG = SyncConfig(
