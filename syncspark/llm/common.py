@@ -21,6 +21,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the folder all executors share."""
+    return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table in the folder all executors share and read it back.
 
@@ -28,6 +33,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     again. The owner of ``spark.checkpoint.dir`` removes ``llm-*`` once results are stored.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

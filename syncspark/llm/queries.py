@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from syncspark.session import prepare
 
+from .common import new_path
 from .exact import exact_dedup
 from .mixing import mix_sources
+from .packing import pack_documents
+from .repair import read_tokens, write_tokens
 from .sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +50,18 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@_query()
+def op3_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(_table(spark, folder, "documents"))
+
+
 @_query()
 def op5_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(_table(spark, folder, "documents"))
+
+
+@_query()
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    write_tokens(_table(spark, folder, "documents"), path)
+    return read_tokens(spark, path)
