@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncspark.session import prepare
 
 from .common import new_path
 from .exact import exact_dedup
+from .langid import document_evidence, fit, identify, page_evidence
 from .mixing import mix_sources
 from .packing import pack_documents
 from .repair import read_tokens, write_tokens
 from .sharding import shard_documents
+from .toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,11 +57,25 @@ def op3_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"))
 
 
+@_query()
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by text and source, web pages by text, markup, address and host."""
+    docs, pages = _table(spark, folder, "documents"), _table(spark, folder, "pages")
+    rows = document_evidence(docs).withColumn("page_id", F.lit(None).cast("long"))
+    rows = rows.unionByName(page_evidence(pages).withColumn("doc_id", F.lit(None).cast("long")))
+    return identify(rows, fit(docs), ["doc_id", "page_id"])
+
+
 @_query()
 def op5_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(_table(spark, folder, "documents"))
 
 
+@_query()
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @_query()
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "tokens")
