@@ -12,6 +12,7 @@ from .common import new_path
 from .exact import exact_dedup
 from .langid import document_evidence, fit, identify, page_evidence
 from .mixing import mix_sources
+from .neighbours import nearest
 from .packing import pack_documents
 from .repair import read_tokens, write_tokens
 from .sharding import shard_documents
@@ -71,6 +72,12 @@ def op5_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(_table(spark, folder, "documents"))
 
 
+@_query()
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    table = _table(spark, folder, "embeddings")
+    return nearest(table, table.filter("vec_id % 100 = 0"))
+
+
 @_query()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
