@@ -16,6 +16,7 @@ from .neighbours import nearest
 from .packing import pack_documents
 from .repair import read_tokens, write_tokens
 from .sharding import shard_documents
+from .substrings import remove_repeats
 from .toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +79,11 @@ def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table, table.filter("vec_id % 100 = 0"))
 
 
+@_query()
+def op7_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(_table(spark, folder, "documents"))
+
+
 @_query()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
