@@ -10,6 +10,7 @@ from syncspark.session import prepare
 
 from .common import new_path
 from .exact import exact_dedup
+from .jaccard import similar_documents
 from .langid import document_evidence, fit, identify, page_evidence
 from .mixing import mix_sources
 from .neighbours import nearest
@@ -84,6 +85,11 @@ def op7_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(_table(spark, folder, "documents"))
 
 
+@_query()
+def op8_similar_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_documents(_table(spark, folder, "documents"))
+
+
 @_query()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
