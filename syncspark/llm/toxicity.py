@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
@@ -55,8 +56,8 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         for k in range(n):
             h = h * np.uint64(0x9E3779B97F4A7C15) + marked[k : k + m]
         same = word[:m] == word[n - 1 :] if m else np.zeros(0, bool)
-        found.append((mix(h[same]) % np.uint64(BUCKETS)).astype(np.int64))
-        of.append(word[:m][same])
+        found.append((mix(h[same]) % np.uint64(BUCKETS)).astype(np.int32))
+        of.append(word[:m][same].astype(np.int32))
     of_all = np.concatenate(of)
     order = np.argsort(of_all, kind="stable")
     return np.concatenate(found)[order], np.bincount(of_all, minlength=len(sizes))
@@ -114,18 +115,20 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Model:
     first, length, doc = _stretches(count)
     # Buckets that toxic documents don't have more often than chance are left at zero: most
     # of them would only say which document they come from.
-    owner = np.repeat(np.arange(len(n)), n)
-    pairs = np.unique(code.astype(np.int64) * len(texts) + np.repeat(np.arange(len(texts)), count))
-    size = n[pairs // len(texts)]
-    stop = np.cumsum(n)
-    at = np.repeat(stop[pairs // len(texts)] - np.cumsum(size), size) + np.arange(size.sum())
-    pairs = np.unique(buckets[at] * len(texts) + np.repeat(pairs % len(texts), size))
-    docs_of, rate = np.bincount(pairs // len(texts), minlength=BUCKETS), toxic.mean()
-    toxic_of = np.bincount(pairs // len(texts), weights=toxic[pairs % len(texts)], minlength=BUCKETS)
+    stop, rate = np.cumsum(n), toxic.mean()
+    docs_of, toxic_of = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for i in range(len(texts)):
+        mine = np.unique(code[before[i] : before[i + 1]])
+        size = n[mine]
+        at = np.repeat(stop[mine] - np.cumsum(size), size) + np.arange(size.sum())
+        has = np.unique(buckets[at])
+        docs_of[has] += 1
+        toxic_of[has] += toxic[i]
     live = (docs_of >= LEAST) & (toxic_of - rate * docs_of >= SURPRISE * np.sqrt(rate * (1 - rate) * np.maximum(docs_of, 1)))
     number = np.cumsum(live) - 1
-    held = live[buckets]
-    buckets, owner = number[buckets[held]], owner[held]
+    held = np.flatnonzero(live[buckets])
+    owner = np.searchsorted(stop, held, side="right")
+    buckets = number[buckets[held]]
     share = 1.0 / np.maximum(n, 1)[owner]
     rng = np.random.default_rng(seed)
     vectors, softmax, bias = rng.normal(0, 0.1, (int(live.sum()), DIM)), rng.normal(0, 0.5, (DIM, 2)), np.array([3.0, -3.0])
@@ -161,8 +164,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     usable = labels.filter("doc_id is not null and toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     usable = usable.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1).dropDuplicates(["doc_id"])
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded, so it may be sent to all
-    rows = docs.select("doc_id", body().alias("text")).join(F.broadcast(chosen), "doc_id").toPandas().sort_values(["doc_id", "text"])
-    return train(rows["text"].tolist(), rows["toxic"].to_numpy())
+    rows = docs.select("doc_id", body().alias("text")).join(F.broadcast(chosen), "doc_id")
+
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "toxic": []}), *frames], ignore_index=True).sort_values(["doc_id", "text"])
+        model = train(found["text"].tolist(), found["toxic"].to_numpy(np.int64))
+        yield pd.DataFrame({"weight": [model.weight.astype("<f8").tobytes()], "bias": [model.bias]})
+
+    # A bounded sample, so one task may hold it.
+    got = rows.repartition(1).mapInPandas(learn, "weight binary, bias double").first()
+    if got is None:
+        return train([], np.zeros(0))
+    return Model(np.frombuffer(got["weight"], "<f8"), got["bias"])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
