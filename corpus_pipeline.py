@@ -1,24 +1,64 @@
-"""From raw documents to packed sequences, stage by stage."""
+"""From raw documents to packed sequences, stage by stage.
+
+Each stage works on all that the one before kept, and its decisions take effect. All but
+the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncspark.llm.common import written
 from syncspark.llm.exact import drop_exact_copies
+from syncspark.llm.jaccard import similar_documents
+from syncspark.llm.langid import document_evidence, fit, identify
+from syncspark.llm.mixing import repeat_documents
+from syncspark.llm.packing import pack_documents
 from syncspark.session import prepare
 
 
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Documents but those whose ids are in ``dropped``. These are written first, so that
+    Spark knows their size: few go to all tasks and the texts stay where they are."""
+    dropped = written(dropped.select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose text is in none of the languages of the labels, or undecided."""
+    found = identify(document_evidence(docs), fit(docs), ["doc_id"])
+    return _without(docs, found.filter("not accepted"))
+
+
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The longest original of equal texts stays."""
     return drop_exact_copies(docs)
 
 
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of documents that similarity links stays."""
+    return _without(docs, similar_documents(docs).filter("component_id <> doc_id"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the weights of their sources ask for, none at all included."""
+    return repeat_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences."""
+    return pack_documents(docs)
+
+
 STAGES = [
+    ("language ID", identify_languages),
     ("exact dedup", remove_exact_copies),
+    ("n-gram Jaccard join", remove_near_copies),
+    ("mixing sources to target weights", mix),
+    ("best-fit packing", pack),
 ]
 
-# Tokenising and language scores are beyond SQL; tests hold the stages against brute force.
+# Language models and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -154,9 +154,11 @@ def identify(rows: DataFrame, model: Likelihoods, keys: list[str], accept: float
     of_domain = [(F.col(f"d{k}") + STRENGTH * general[k]) / (F.col("dn") + STRENGTH) for k in range(n)]
     of_host = [(F.col(f"s{k}") + STRENGTH * of_domain[k]) / (F.col("n") + STRENGTH) for k in range(n)]
     priors = hosts.join(domains, "domain").crossJoin(F.broadcast(whole)).select("host", F.array(*[F.log(x) for x in of_host]).alias("host_says"))
+    priors = written(priors, "priors")  # its size known, it is sent to all tasks where it is small
     out = scored.crossJoin(F.broadcast(whole.select(F.array(*[F.log(x) for x in general]).alias("general"))))  # one row
-    for found, column in ((priors, "host"), (_reliability(told, "declared", n), "declared"), (_reliability(told, "address", n), "address")):
-        out = out.join(found, column, "left")
+    out = out.join(priors, "host", "left")
+    for column in ("declared", "address"):  # codes of two or three letters
+        out = out.join(F.broadcast(_reliability(told, column, n)), column, "left")
     nothing = F.array(*[F.lit(0.0)] * n)
     total = _add("likely", F.coalesce("host_says", "general"))
     for column in ("declared_says", "address_says"):

@@ -107,7 +107,10 @@ def mix_sources(docs: DataFrame, share: float = 1.5, repeats: float = 2.0, weigh
 
 
 def repeat_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of ``docs``, all its columns, as often as it is taken."""
-    plan = mix_sources(docs, **options).filter("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
+    """The mix itself: each row of ``docs``, all its columns, as often as it is taken.
+
+    Rows that repeat an id are taken alike, as often as the one of them taken most.
+    """
+    plan = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").cast("int").alias("_copies")).filter("_copies > 0")
     rows = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_")).drop("_")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_i")).drop("_i")
