@@ -1,7 +1,8 @@
 """Fields out of HTML pages by selectors.
 
-The pages are a table; Spark partitions it and each task parses its own pages in
-Arrow batches. Only this parsing needs Python, as no built-in function reads HTML.
+Python reads a page once, with the standard parser, into an array of elements and one of
+text runs, as no built-in function reads HTML. Selectors and rules are expressions over
+these arrays, so Spark plans and runs them like any other.
 """
 
 from __future__ import annotations
@@ -9,10 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from syncspark.errors import ConfigError
 from syncspark.session import ship_package
@@ -39,45 +41,43 @@ P_ENDING_TAGS = frozenset(
 P_BARRIERS = ["td", "th", "button", "object", "table", "html"]
 
 
-@dataclass
-class Node:
-    tag: str
-    attrs: dict
-    parent: "Node | None"
-    index: int
-    start: int
-    inner_start: int
-    inner_end: int = -1
-    end: int = -1
-    children: int = 0
-    first_text: int = 0
-    last_text: int = 0
+# An element: names and values of its attributes, its place among its siblings, the
+# elements around it (outermost first), offsets in the page, and its text runs.
+NODE = (
+    "struct<tag:string,names:array<string>,values:array<string>,position:int,around:array<int>,"
+    "start:int,inner_start:int,inner_end:int,end:int,first_text:int,last_text:int>"
+)
+PAGE = f"struct<nodes:array<{NODE}>,texts:array<string>>"
 
 
 class PageParser(HTMLParser):
-    """One pass over a page: elements in document order, text runs, source offsets."""
+    """One pass over a page: elements in document order, text runs, offsets in the page."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.html = html
-        self.nodes: list[Node] = []
+        self.nodes: list[dict] = []
         self.texts: list[str] = []
         self._glue = False
         self._lines = [0]
         self._lines += [m.end() for m in re.finditer("\n", html)]
-        self._stack = [Node("#root", {}, None, 0, 0, 0)]
+        self._stack: list[int] = []  # open elements
+        self._children = [0]  # how many each open element has, the page itself first
         self.feed(html)
         self.close()
-        while len(self._stack) > 1:
+        while self._stack:
             self._pop(len(html), len(html))
 
     def _offset(self) -> int:
         line, column = self.getpos()
         return self._lines[line - 1] + column
 
+    def _tag(self, depth: int) -> str:
+        return self.nodes[self._stack[depth]]["tag"]
+
     def _pop(self, inner_end: int, end: int) -> None:
-        node = self._stack.pop()
-        node.inner_end, node.end, node.last_text = inner_end, end, len(self.texts)
+        self._children.pop()
+        self.nodes[self._stack.pop()].update(inner_end=inner_end, end=end, last_text=len(self.texts))
 
     def _close_implied(self, tag: str, at: int) -> None:
         groups = []
@@ -86,8 +86,8 @@ class PageParser(HTMLParser):
         if tag in P_ENDING_TAGS:
             groups.append((["p"], P_BARRIERS))
         for ended, barriers in groups:
-            for depth in range(len(self._stack) - 1, 0, -1):
-                open_tag = self._stack[depth].tag
+            for depth in range(len(self._stack) - 1, -1, -1):
+                open_tag = self._tag(depth)
                 if open_tag in barriers:
                     break
                 if open_tag in ended:
@@ -100,15 +100,17 @@ class PageParser(HTMLParser):
         self._glue = False
         at = self._offset()
         self._close_implied(tag, at)
-        parent = self._stack[-1]
         inner = at + len(self.get_starttag_text() or "")
         pairs = {}
         for name, value in attrs:
             pairs.setdefault(name, value or "")
-        node = Node(tag, pairs, parent, parent.children, at, inner, first_text=len(self.texts))
-        parent.children += 1
-        self.nodes.append(node)
-        self._stack.append(node)
+        self.nodes.append({
+            "tag": tag, "names": list(pairs), "values": list(pairs.values()), "position": self._children[-1], "around": list(self._stack),
+            "start": at, "inner_start": inner, "first_text": len(self.texts),
+        })
+        self._children[-1] += 1
+        self._children.append(0)
+        self._stack.append(len(self.nodes) - 1)
         if closed or tag in VOID_TAGS:
             self._pop(inner, inner)
 
@@ -120,8 +122,8 @@ class PageParser(HTMLParser):
 
     def handle_endtag(self, tag):
         self._glue = False
-        for depth in range(len(self._stack) - 1, 0, -1):
-            if self._stack[depth].tag == tag:
+        for depth in range(len(self._stack) - 1, -1, -1):
+            if self._tag(depth) == tag:
                 at = self._offset()
                 close = self.html.find(">", at)
                 while len(self._stack) > depth + 1:
@@ -130,7 +132,7 @@ class PageParser(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if self._stack[-1].tag in RAW_TAGS:
+        if self._stack and self._tag(-1) in RAW_TAGS:
             return
         if self._glue:
             self.texts[-1] += data
@@ -141,24 +143,10 @@ class PageParser(HTMLParser):
     def handle_comment(self, data):
         self._glue = False
 
-    def text(self, nodes: list[Node] | None = None) -> str:
-        if nodes is None:
-            spans = [(0, len(self.texts))]
-        else:
-            spans = [(n.first_text, n.last_text) for n in nodes]
-        pieces = [clean_text(t) for low, high in spans for t in self.texts[low:high]]
-        return " ".join(p for p in pieces if p)
-
 
-_SPACES = re.compile(r"[ \t\n\f\r]+")
 _EDGES = "".join(chr(code) for code in range(0x21))
 
 
-def clean_text(text: str) -> str:
-    """Collapsed white space, non-breaking spaces as plain ones, trimmed."""
-    return _SPACES.sub(" ", text).replace("\u00a0", " ").strip(_EDGES)
-
-
 @dataclass
 class Step:
     """A compound selector and how it relates to the one before it."""
@@ -170,22 +158,25 @@ class Step:
     attrs: list[tuple[str, str | None]] = field(default_factory=list)
     index: int | None = None
 
-    def matches(self, node: Node) -> bool:
-        if self.tag is not None and node.tag != self.tag:
-            return False
-        if self.index is not None and node.index != self.index:
-            return False
-        if any(node.attrs.get("id") != i for i in self.ids):
-            return False
+    def matches(self, node: Column) -> Column:
+        parts = []
+        if self.tag is not None:
+            parts.append(node["tag"] == self.tag)
+        if self.index is not None:
+            parts.append(node["position"] == self.index)
+        parts += [_attribute(node, "id").eqNullSafe(F.lit(i)) for i in self.ids]
         if self.classes:
-            held = {c.lower() for c in node.attrs.get("class", "").split()}
-            if any(c.lower() not in held for c in self.classes):
-                return False
+            held = F.split(F.lower(F.coalesce(_attribute(node, "class"), F.lit(""))), r"\s+")
+            parts += [F.array_contains(held, c.lower()) for c in self.classes]
         for name, value in self.attrs:
-            found = node.attrs.get(name)
-            if found is None or (value is not None and found.strip().lower() != value.strip().lower()):
-                return False
-        return True
+            found = _attribute(node, name)
+            parts.append(found.isNotNull() if value is None else F.lower(F.btrim(found, F.lit(_EDGES))).eqNullSafe(F.lit(value.strip().lower())))
+        return reduce(lambda x, y: x & y, parts, F.lit(True))
+
+
+def _attribute(node: Column, name: str) -> Column:
+    """Value of an attribute, null if the element doesn't have it."""
+    return F.get(node["values"], (F.array_position(node["names"], name) - 1).cast("int"))
 
 
 _PART = re.compile(
@@ -221,23 +212,36 @@ def compile_selector(text: str) -> list[list[Step]]:
     return alternatives
 
 
-def _matches(node: Node, steps: list[Step]) -> bool:
-    if not steps[-1].matches(node):
-        return False
+def _matches(nodes: Column, node: Column, steps: list[Step]) -> Column:
+    own = steps[-1].matches(node)
     if len(steps) == 1:
-        return True
-    parent = node.parent
-    while parent is not None and parent.tag != "#root":
-        if _matches(parent, steps[:-1]):
-            return True
-        if steps[-1].direct:
-            return False
-        parent = parent.parent
-    return False
+        return own
+    outer = steps[:-1]
+    if steps[-1].direct:
+        around = F.element_at(F.concat(F.array(F.lit(-1)), node["around"]), -1)
+        return own & (around >= 0) & F.coalesce(_matches(nodes, F.get(nodes, around), outer), F.lit(False))
+    return own & F.exists(node["around"], lambda i: _matches(nodes, F.get(nodes, i), outer))
 
 
-def select(page: PageParser, selector: list[list[Step]]) -> list[Node]:
-    return [n for n in page.nodes if any(_matches(n, chain) for chain in selector)]
+def select(page: Column, selector: list[list[Step]]) -> Column:
+    """Elements of a page that a selector picks, in document order."""
+    nodes = page["nodes"]
+    return F.filter(nodes, lambda n: reduce(lambda x, y: x | y, [_matches(nodes, n, chain) for chain in selector]))
+
+
+def clean_text(text: Column) -> Column:
+    """Collapsed white space, non-breaking spaces as plain ones, trimmed."""
+    return F.btrim(F.replace(F.regexp_replace(text, r"[ \t\n\f\r]+", " "), F.lit("\u00a0"), F.lit(" ")), F.lit(_EDGES))
+
+
+def joined_text(texts: Column) -> Column:
+    return F.array_join(F.filter(F.transform(texts, clean_text), lambda t: t != ""), " ")
+
+
+def text_of(page: Column, nodes: Column) -> Column:
+    """Text of elements."""
+    runs = F.transform(nodes, lambda n: F.slice(page["texts"], n["first_text"] + 1, n["last_text"] - n["first_text"]))
+    return joined_text(F.flatten(runs))
 
 
 @dataclass(frozen=True)
@@ -260,39 +264,36 @@ class HtmlField:
         )
 
 
-def field_value(page: PageParser, rule: HtmlField, selector) -> str | None:
-    if selector is None:
-        return page.text() if rule.strip_html else page.html
-    found = select(page, selector)
-    if not found:
-        return None
+def field_value(page: Column, html: Column, rule: HtmlField) -> Column:
+    """A field's value by its rule; null where nothing is found."""
+    if rule.selector is None:
+        return joined_text(page["texts"]) if rule.strip_html else html
+    found = select(page, compile_selector(rule.selector))
     if rule.value_attribute:
-        values = [n.attrs.get(rule.value_attribute.lower(), "").strip(_EDGES) for n in found]
-        return " ".join(v for v in values if v) or None
+        values = F.transform(found, lambda n: F.btrim(F.coalesce(_attribute(n, rule.value_attribute.lower()), F.lit("")), F.lit(_EDGES)))
+        return F.nullif(F.array_join(F.filter(values, lambda v: v != ""), " "), F.lit(""))
     if rule.strip_html:
-        return page.text(found)
-    if len(found) == 1:
-        return page.html[found[0].inner_start : found[0].inner_end]
-    return "\n".join(page.html[n.start : n.end] for n in found)
+        value = text_of(page, found)
+    else:
+        def part(low: Column, high: Column) -> Column:
+            return F.substring(html, low + 1, high - low)
+
+        first = F.get(found, F.lit(0))
+        outer = F.array_join(F.transform(found, lambda n: part(n["start"], n["end"])), "\n")
+        value = F.when(F.size(found) == 1, part(first["inner_start"], first["inner_end"])).otherwise(outer)
+    return F.when(F.size(found) > 0, value)
 
 
-def extract_udf(mapping: dict[str, HtmlField]):
-    """Vectorised function from HTML text to a struct of the mapped fields."""
+def read_page(html: Column) -> Column:
+    """Elements and text runs of a page."""
     ship_package(SparkSession.active())
-    rules = {name: HtmlField.of(entry) for name, entry in mapping.items()}
-    selectors = {n: compile_selector(r.selector) if r.selector else None for n, r in rules.items()}
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in rules])
 
-    def extract(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            columns = {name: [] for name in rules}
-            for html in batch:
-                page = None if html is None else PageParser(html)
-                for name, rule in rules.items():
-                    columns[name].append(None if page is None else field_value(page, rule, selectors[name]))
-            yield pd.DataFrame(columns, columns=list(rules), dtype="object")
+            pages = [PageParser(h or "") for h in batch]
+            yield pd.DataFrame({"nodes": [p.nodes for p in pages], "texts": [p.texts for p in pages]}, dtype="object")
 
-    return F.pandas_udf(extract, schema)
+    return F.pandas_udf(read, PAGE)(html)
 
 
 def html_extract(
@@ -301,9 +302,19 @@ def html_extract(
     """Pages with ``detail`` and ``status``.
 
     A page that is not HTML is not found (404) and has no detail. Without a mapping
-    the detail is the page's HTML, else a struct of the mapped fields.
+    the detail is the page's HTML, else a struct of the mapped fields, null in a page
+    without HTML.
     """
     is_html = F.lit(True) if content_type is None else F.coalesce(F.contains(content_type, F.lit("text/html")), F.lit(False))
     body = F.when(is_html, F.col(html))
-    detail = body if mapping is None else extract_udf(mapping)(body)
-    return pages.withColumn("detail", detail).withColumn("status", F.when(is_html, F.lit(200)).otherwise(F.lit(NOT_FOUND)))
+    status = F.when(is_html, F.lit(200)).otherwise(F.lit(NOT_FOUND))
+    if mapping is None:
+        return pages.withColumn("detail", body).withColumn("status", status)
+    rules = {name: HtmlField.of(entry) for name, entry in mapping.items()}
+    marked = pages.withColumn("_body", body)
+    if any(rule.selector or rule.strip_html for rule in rules.values()):
+        marked = marked.withColumn("_page", read_page(F.col("_body")))
+    has = F.col("_body").isNotNull()
+    fields = [F.when(has, field_value(F.col("_page"), F.col("_body"), rule)).alias(name) for name, rule in rules.items()]
+    out = marked.withColumn("detail", F.when(is_html, F.struct(*fields))).withColumn("status", status)
+    return out.drop("_body", "_page")

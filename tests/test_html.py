@@ -1,86 +1,100 @@
+"""Selectors and rules on pages generated with known content."""
+
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from syncspark.errors import ConfigError
-from syncspark.sources.html import HtmlField, PageParser, compile_selector, field_value, html_extract, select
+from syncspark.sources.html import HtmlField, compile_selector, html_extract, read_page, select, text_of
+
 
-PAGE = (
-    "<html><body>some opening words\n<div class='box'>salt &amp; pepper</div>\n"
-    "<div class='box'>more <b>fine</b> spices</div></body><html>"
-)
+@pytest.fixture(scope="module")
+def fields(spark):
+    """Values of rules, by name, over pages."""
 
+    def run(pages, **rules):
+        df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+        return [r.detail.asDict() for r in html_extract(df, rules).orderBy("i").collect()]
 
-def value(html, selector=None, strip=False, attribute=None):
-    rule = HtmlField(selector, strip, attribute)
-    return field_value(PageParser(html), rule, compile_selector(selector) if selector else None)
+    return run
 
 
-def test_text_and_selectors():
-    assert value(PAGE) == PAGE
-    assert value(PAGE, strip=True) == "some opening words salt & pepper more fine spices"
-    assert value(PAGE, ".box", True) == "salt & pepper more fine spices"
-    assert value(PAGE, ".box:eq(1)", True) == "more fine spices"
-    assert value(PAGE, ".box:eq(1)") == "more <b>fine</b> spices"
-    assert value(PAGE, ".box") == (
-        "<div class='box'>salt &amp; pepper</div>\n<div class='box'>more <b>fine</b> spices</div>"
+def catalogue(rng, shelves):
+    """A page of shelves with books, and what is on it."""
+    books = [[(f"t{rng.randrange(10**6)}", rng.randrange(100)) for _ in range(rng.randrange(1, 5))] for _ in range(shelves)]
+    rows = "".join(
+        f'<section class="Shelf s{i}">' + "".join(f'<div data-price="{p}"><h2>{t}</h2><i>{p} EUR</i></div>\n' for t, p in shelf) + "</section>"
+        for i, shelf in enumerate(books)
     )
-    assert value(PAGE, ".other", True) is None and value(PAGE, ".other") is None
-    assert value(PAGE, ".box", True, "missing") is None
+    return f"<html><head><title>stock</title></head><body><main id='all'>{rows}</main><div>end</div></body></html>", books
 
 
-def test_attributes():
-    html = (
-        '<head><meta name="summary" content=" short &amp; sweet"></head><body><span class="item" content="red"/>'
-        '<span class="item" content="blue"/><span class="item" content=""/><span class="item" content="pink"/></body>'
+def test_generated_catalogues(fields):
+    rng = random.Random(5)
+    made = [catalogue(rng, n) for n in (1, 2, 3, 6)]
+    found = fields(
+        [page for page, _ in made],
+        titles=HtmlField("#all h2", True), prices=HtmlField("section.shelf > div[data-price]", value_attribute="data-price"),
+        first=HtmlField("section:eq(0) div:eq(0) h2"), last_part=HtmlField("body > div", True), second_shelf=HtmlField(".s1 h2", True),
+        labels=HtmlField("main i, title", True), none=HtmlField("main > h2", True),
     )
-    assert value(html, "meta[name=summary]", True, "content") == "short & sweet"
-    assert value(html, ".item", True, "content") == "red blue pink"
-
-
-@pytest.mark.parametrize(
-    "html, text",
-    [
-        ("", ""),
-        ("hello", "hello"),
-        ("<p>hello</p><p>green field</p>", "hello green field"),
-        ("<p>hello</p><p class=\"c\">green field</p>\n<div><a href='http://x.org'>a link</a></div>", "hello green field a link"),
-        ("<p>a\n  b&nbsp;</p><script>var x = '<p>';</script><style>p{}</style><!-- c -->d", "a b d"),
-        ("a &lt; b <i></i> c", "a < b c"),
-    ],
-)
-def test_text_rule(html, text):
-    assert value(html, strip=True) == text
-
-
-def test_implied_end_tags():
-    html = "<ul><li>one<li>two <b>x</b></ul><p>first<p>second<div>third</div><table><tr><td>a<td>b<tr><td>c</table>"
-    texts = lambda s: [PageParser(html).text([n]) for n in select(PageParser(html), compile_selector(s))]
-    assert texts("li") == ["one", "two x"]
-    assert texts("p") == ["first", "second"]
-    assert texts("td") == ["a", "b", "c"]
-    assert texts("tr") == ["a b", "c"]
-
-
-def test_selector_forms():
-    html = '<div id="main" class="A b"><p data-x="1">p1</p><section><p>p2</p></section></div><p>p3</p>'
-    count = lambda s: len(select(PageParser(html), compile_selector(s)))
-    given = {
-        "p": 3, "#main p": 2, "div > p": 1, "div.a.B p[data-x]": 1, "p[data-x=1]": 1, 'p[data-x="2"]': 0, "#main, section": 2,
-        "*": 5, "div section p": 1, "p:eq(0)": 2,
-    }
-    assert {s: count(s) for s in given} == given
-    for bad in ("p::before", "p:contains(x)", "p + p"):
-        with pytest.raises(ConfigError):
-            compile_selector(bad)
-
-
-def test_extract_over_a_table(spark):
-    pages = spark.createDataFrame(
-        [(1, PAGE, "text/html; charset=utf-8"), (2, PAGE, "application/font"), (3, PAGE, None), (4, None, "text/html")],
-        "id int, html string, type string",
-    )
-    out = html_extract(pages, {"t": {"cssSelector": " .box:eq(0) ", "stripHtml": "true"}, "all": {}}, content_type=F.col("type"))
-    rows = {r.id: (r.status, r.detail.t if r.detail else None) for r in out.collect()}
-    assert rows[1] == (200, "salt & pepper")
-    assert rows[2] == (404, None) and rows[3] == (404, None)
-    assert {r.id: r.detail for r in html_extract(pages).collect()}[1] == PAGE
+    for (_, books), row in zip(made, found, strict=True):
+        every = [b for shelf in books for b in shelf]
+        assert row["titles"] == " ".join(t for t, _ in every)
+        assert row["prices"] == " ".join(str(p) for _, p in every)
+        assert row["first"] == books[0][0][0] and row["last_part"] == "end" and row["none"] is None
+        assert row["second_shelf"] == (" ".join(t for t, _ in books[1]) if len(books) > 1 else None)
+        assert row["labels"] == " ".join(["stock", *(f"{p} EUR" for _, p in every)])
+
+
+def test_one_element_gives_its_inside_and_several_give_themselves(fields):
+    page = "<ol><li lang=x>a &lt; <em>b</em></li></ol><dl><dt>k</dt><dd>1</dd><dd>2</dd></dl>"
+    assert fields([page], one=HtmlField("li"), two=HtmlField("dd"), page=HtmlField(), text=HtmlField(strip_html=True)) == [
+        {"one": "a &lt; <em>b</em>", "two": "<dd>1</dd>\n<dd>2</dd>", "page": page, "text": "a < b k 1 2"}
+    ]
+
+
+@pytest.mark.parametrize("gap", [" ", "\n", "\t \r\n", "&nbsp;", "<!-- note -->", "<br>", "<script>if (a<b) {}</script>", "<style>q{}</style>"])
+def test_gaps_in_text_are_one_space(fields, gap):
+    assert fields([f"{gap}left{gap}<u>mid</u>{gap}right{gap}"], t=HtmlField(strip_html=True)) == [{"t": "left mid right"}]
+
+
+def test_attributes(fields):
+    page = '<img ALT=" a&amp;b " alt="second"><img alt><p alt="z">x</p><img src=q alt=c>'
+    assert fields([page], img=HtmlField("img", value_attribute="Alt"), every=HtmlField("[alt]", value_attribute="alt"), no=HtmlField("p", value_attribute="src"), none=HtmlField("b", value_attribute="alt")) == [
+        {"img": "a&b c", "every": "a&b z c", "no": None, "none": None}
+    ]
+
+
+def test_elements_without_end_tags(spark):
+    page = "<table><tr><th>n<th>sq" + "".join(f"<tr><td>{n}<td>{n * n}" for n in range(4)) + "</table><p>one<p>two<div>three</div>four<ul><li>x<ul><li>y</ul><li>z</ul>"
+    df = spark.createDataFrame([(page,)], "html string").withColumn("p", read_page(F.col("html")))
+
+    def texts(selector):
+        found = select(F.col("p"), compile_selector(selector))
+        return df.select(F.transform(found, lambda n: text_of(F.col("p"), F.array(n)))).first()[0]
+
+    assert texts("tr") == ["n sq", *(f"{n} {n * n}" for n in range(4))]
+    assert texts("td:eq(1)") == [str(n * n) for n in range(4)] and texts("p") == ["one", "two"]
+    assert texts("li") == ["x y", "y", "z"] and texts("ul li li") == ["y"] and texts("div") == ["three"]
+
+
+def test_broken_pages_do_not_fail(fields):
+    pages = ["", "<", "</p>", "<b><i>x</b>y</i>", "<a href=", "plain", "<p", "&bogus; &#0; &#x41;"]
+    found = fields(pages, t=HtmlField(strip_html=True), b=HtmlField("b", True))
+    assert [r["b"] for r in found] == [None, None, None, "x", None, None, None, None] and found[3]["t"] == "x y" and found[5]["t"] == "plain"
+
+
+@pytest.mark.parametrize("selector", ["a:hover", "a ~ b", "a + b", "a::after", "[x^=y]", "!"])
+def test_selectors_that_are_not_supported(selector):
+    with pytest.raises(ConfigError):
+        compile_selector(selector)
+
+
+def test_only_html_has_a_detail(spark):
+    kinds = ["text/html", "text/html;charset=latin1", "application/xhtml+xml", "image/png", None]
+    df = spark.createDataFrame([(i, "<p>q</p>" if i else None, k) for i, k in enumerate(kinds)], "i int, html string, kind string")
+    rows = html_extract(df, {"p": {"cssSelector": " p ", "stripHtml": "TRUE"}, "all": {"cssSelector": ""}}, content_type=F.col("kind")).orderBy("i").collect()
+    assert [(r.status, r.detail and r.detail.p) for r in rows] == [(200, None), (200, "q"), (404, None), (404, None), (404, None)]
+    assert [r.detail for r in html_extract(df).orderBy("i").collect()] == [None, *["<p>q</p>"] * 4]
