@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from syncspark.config import CommentMode, SyncConfig
 from syncspark.errors import ConfigError
 from syncspark.functions.paths import path_type, quoted, simple_string, struct_path
-from syncspark.operators.joins import keyed_join
 from syncspark.operators.mapping import (
     document_json,
     map_fields,
@@ -135,34 +134,16 @@ def lacks_comment_id(docs: DataFrame, cfg: SyncConfig) -> Column:
     return F.coalesce(F.exists(values, lambda c: simple_string(kind, cfg.comment_id, c).isNull()), F.lit(False))
 
 
-def collect_children(
-    children: DataFrame, key: str | list[str], position: str, fields: list[str], name: str = "comments",
-    max_children: int = 10_000,
-) -> DataFrame:
-    """Fold child rows into arrays ordered by ``position``, the inverse of child mode.
+def collect_children(children: DataFrame, key: str | list[str], position: str, fields: list[str], name: str = "comments") -> DataFrame:
+    """Fold child rows into one array per parent, ordered by ``position``: the inverse of
+    child mode.
 
-    A parent has one row, ``part`` 0 and ``piece`` 0, unless it is very large: every
-    ``max_children`` positions start another part, and a part with more rows than that
-    (repeated positions) is dealt out into pieces. So no array and no task grows with a
-    hot parent, and no child is lost. Oversized parts are found by a count over keys
-    and positions only.
+    A parent has one row whatever its size, as its document is one value. Where threads
+    may outgrow a value, keep children as rows (child mode) and fold those asked for.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    part = F.floor(F.col(position) / F.lit(max_children)).cast("bigint")
-    parted = children.withColumn("part", part)
-    sizes = parted.groupBy(*keys, "part").agg(F.count("*").alias("_size")).filter(F.col("_size") > max_children)
-    piece = F.lit(0).cast("bigint")
-    if not sizes.isEmpty():
-        parted = keyed_join(parted, sizes, [*keys, "part"], "left", hot=True)
-        pieces = F.ceil(F.coalesce("_size", F.lit(1)) / F.lit(max_children)).cast("bigint")
-        spread = F.xxhash64(*keys, position, *[f for f in fields if f != position]) + F.spark_partition_id()
-        piece = F.pmod(spread, pieces)
     item = F.struct(F.col(position), *[F.col(f) for f in fields if f != position])
-    return (
-        parted.withColumn("piece", piece)
-        .groupBy(*keys, "part", "piece")
-        .agg(F.array_sort(F.collect_list(item)).alias(name))
-    )
+    return children.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
 def children_of(rows: DataFrame, comment_type: str, parent_id: str | None = None) -> DataFrame:

@@ -27,9 +27,6 @@ from syncspark.functions.urls import (
 from syncspark.operators.changes import latest
 from syncspark.session import ship_package
 
-# Fixed value: URLs taken from a text sitemap, a feed or an index.
-MAX_URLS = 50_000
-
 # Content types by format.
 XML_TYPES = ["text/xml", "application/xml", "application/x-xml", "application/atom+xml", "application/rss+xml"]
 TEXT_TYPES = ["text/plain"]
@@ -97,46 +94,48 @@ def _entries(items: Column, url, lastmod, freq=None, prio=None) -> Column:
     return F.transform(items, entry)
 
 
-def urlset_entries(body: Column) -> Column:
-    doc = _from_xml(body, f"url array<{_ENTRY}>")
-    return _entries(
-        doc["url"], lambda i: i["loc"], lambda i: i["lastmod"], lambda i: i["changefreq"], lambda i: i["priority"]
-    )
+URLSET = f"url array<{_ENTRY}>"
+ATOM = "modified string, entry array<struct<link:array<struct<_href:string>>>>"
+RSS = "channel struct<pubDate:string,item:array<struct<link:string>>>"
+INDEX = "sitemap array<struct<_VALUE:string,loc:string,lastmod:string>>"
+
+
+def _undated(item: Column) -> Column:
+    return F.lit(None).cast("string")
 
 
-def atom_entries(body: Column) -> Column:
-    """First ``MAX_URLS`` feed entries; each gets the feed's own date."""
-    doc = _from_xml(body, "modified string, entry array<struct<link:array<struct<_href:string>>>>")
-    return _entries(F.slice(doc["entry"], 1, MAX_URLS), lambda i: F.get(i["link"], F.lit(0))["_href"], lambda i: doc["modified"])
+def urlset_entries(doc: Column) -> Column:
+    return _entries(doc["url"], lambda i: i["loc"], lambda i: i["lastmod"], lambda i: i["changefreq"], lambda i: i["priority"])
 
 
-def rss_entries(body: Column) -> Column:
-    """First ``MAX_URLS`` channel items; each gets the channel's own date."""
-    doc = _from_xml(body, "channel struct<pubDate:string,item:array<struct<link:string>>>")
-    channel = doc["channel"]
-    return _entries(F.slice(channel["item"], 1, MAX_URLS), lambda i: i["link"], lambda i: channel["pubDate"])
+def atom_entries(doc: Column) -> Column:
+    """Feed entries without a date: all get the feed's own."""
+    return _entries(doc["entry"], lambda i: F.get(i["link"], F.lit(0))["_href"], _undated)
+
+
+def rss_entries(doc: Column) -> Column:
+    """Channel items without a date: all get the channel's own."""
+    return _entries(doc["channel"]["item"], lambda i: i["link"], _undated)
 
 
 def text_entries(body: Column) -> Column:
     """Non-empty lines."""
     lines = F.split(F.regexp_replace(body, "^\ufeff", ""), r"\r\n|\n|\r")
-    none = F.lit(None).cast("string")
-    return _entries(F.filter(lines, lambda line: line != ""), lambda i: i, lambda i: none)
+    return _entries(F.filter(lines, lambda line: line != ""), lambda i: i, _undated)
 
 
-def index_entries(body: Column) -> Column:
+def index_entries(doc: Column) -> Column:
     """Child sitemaps of an index: address and date."""
-    doc = _from_xml(body, "sitemap array<struct<_VALUE:string,loc:string,lastmod:string>>")
-    return _entries(
-        F.slice(doc["sitemap"], 1, MAX_URLS), lambda i: F.coalesce(i["loc"], i["_VALUE"]), lambda i: i["lastmod"]
-    )
+    return _entries(doc["sitemap"], lambda i: F.coalesce(i["loc"], i["_VALUE"]), lambda i: i["lastmod"])
 
 
-def url_rows(bodies: DataFrame, entries: Column, strict: bool = True, cap: int | None = None) -> DataFrame:
+def url_rows(bodies: DataFrame, entries: Column, strict: bool = True, cap: int | None = None, date: Column | None = None) -> DataFrame:
     """Rows of the usable entries of each body.
 
     An entry with a bad URL is skipped; one outside the sitemap's directory is skipped
-    when ``strict`` and marked otherwise. ``cap`` counts the accepted entries.
+    when ``strict`` and marked otherwise. ``cap``, if given, is how many accepted entries
+    of a body count. ``date`` is that of entries without their own; it is put on after
+    they have become rows.
     """
     base = sitemap_base(F.col("sitemap_url"))
 
@@ -147,39 +146,48 @@ def url_rows(bodies: DataFrame, entries: Column, strict: bool = True, cap: int |
     accepted = F.filter(entries, usable)
     if cap is not None:
         accepted = F.slice(accepted, 1, cap)
-    rows = bodies.select("sitemap_url", F.posexplode(accepted).alias("pos", "_e"))
+    date = F.lit(None).cast("string") if date is None else date
+    rows = bodies.select("sitemap_url", date.alias("_date"), F.posexplode(accepted).alias("pos", "_e"))
     url = F.col("_e")["loc"]
     return rows.select(
         "sitemap_url",
         F.col("pos").cast("bigint").alias("pos"),
         url.alias("url"),
-        sitemap_lastmod(F.col("_e")["lastmod"]).alias("last_modified"),
+        sitemap_lastmod(F.coalesce(F.col("_e")["lastmod"], F.col("_date"))).alias("last_modified"),
         change_freq(F.col("_e")["changefreq"]).alias("change_freq"),
         priority(F.col("_e")["priority"]).alias("priority"),
         url_allowed(sitemap_base(F.col("sitemap_url")), url).alias("valid"),
     )
 
 
+def _parsed(bodies: DataFrame, schema: str) -> DataFrame:
+    """Bodies with ``_doc``: in a projection of its own, as expressions over a list would
+    parse the body again for each element."""
+    return bodies.select("sitemap_url", _from_xml(F.col("body"), schema).alias("_doc"))
+
+
 def sitemap_xml(bodies: DataFrame, strict: bool = True) -> DataFrame:
-    return url_rows(bodies, urlset_entries(F.col("body")), strict)
+    return url_rows(_parsed(bodies, URLSET), urlset_entries(F.col("_doc")), strict)
 
 
-def sitemap_text(bodies: DataFrame, strict: bool = True) -> DataFrame:
-    return url_rows(bodies, text_entries(F.col("body")), strict, cap=MAX_URLS)
+def sitemap_text(bodies: DataFrame, strict: bool = True, cap: int | None = None) -> DataFrame:
+    return url_rows(bodies, text_entries(F.col("body")), strict, cap)
 
 
 def sitemap_atom(bodies: DataFrame, strict: bool = True) -> DataFrame:
-    return url_rows(bodies, atom_entries(F.col("body")), strict)
+    doc = F.col("_doc")
+    return url_rows(_parsed(bodies, ATOM), atom_entries(doc), strict, date=doc["modified"])
 
 
 def sitemap_rss(bodies: DataFrame, strict: bool = True) -> DataFrame:
-    return url_rows(bodies, rss_entries(F.col("body")), strict)
+    doc = F.col("_doc")
+    return url_rows(_parsed(bodies, RSS), rss_entries(doc), strict, date=doc["channel"]["pubDate"])
 
 
 def sitemap_index(bodies: DataFrame) -> DataFrame:
     """Child sitemaps: ``sitemap_url, pos, url, last_modified``; bad addresses are skipped."""
-    good = F.filter(index_entries(F.col("body")), lambda e: valid_url(e["loc"]))
-    rows = bodies.select("sitemap_url", F.posexplode(good).alias("pos", "_e"))
+    good = F.filter(index_entries(F.col("_doc")), lambda e: valid_url(e["loc"]))
+    rows = _parsed(bodies, INDEX).select("sitemap_url", F.posexplode(good).alias("pos", "_e"))
     return rows.select(
         "sitemap_url",
         F.col("pos").cast("bigint").alias("pos"),
@@ -222,29 +230,35 @@ def unzipped(bodies: DataFrame) -> DataFrame:
     return plain.unionByName(packed)
 
 
-def read_sitemap(bodies: DataFrame, strict: bool = True, allow_index: bool = False) -> DataFrame:
+def read_sitemap(bodies: DataFrame, strict: bool = True, allow_index: bool = False, cap: int | None = None) -> DataFrame:
     """URLs of bodies in any supported format.
 
     Every body is parsed once, by the branch of its format. An index is refused unless
-    ``allow_index``, as it names sitemaps and not documents.
+    ``allow_index``, as it names sitemaps and not documents. ``cap``, if given, is how many
+    accepted URLs of a body that is no XML sitemap count; by default all do.
     """
     tagged = unzipped(bodies)
     body = F.col("body")
+    kinds = tagged.withColumn("_format", F.when(F.col("_kind") == "xml", xml_kind(body)).otherwise("text"))
+    kind = F.col("_format")
     refused = F.raise_error(F.lit("sitemap index format is not supported here"))
-    kind = F.when(F.col("_kind") == "xml", xml_kind(body)).otherwise("text")
+    parsed = kinds.select(
+        "sitemap_url", "_format", "body",
+        *[F.when(kind == name, _from_xml(body, schema)).alias(f"_{name}") for name, schema in (("urlset", URLSET), ("atom", ATOM), ("rss", RSS))],
+    )
     entries = (
-        F.when(kind == "urlset", urlset_entries(body))
+        F.when(kind == "urlset", urlset_entries(F.col("_urlset")))
         .when(kind == "text", text_entries(body))
-        .when(kind == "atom", atom_entries(body))
-        .when(kind == "rss", rss_entries(body))
+        .when(kind == "atom", atom_entries(F.col("_atom")))
+        .when(kind == "rss", rss_entries(F.col("_rss")))
         .when(kind == "index", F.slice(text_entries(F.lit("-")), 1, 0) if allow_index else refused)
     )
-    base = sitemap_base(F.col("sitemap_url"))
-    usable = F.filter(
-        entries, lambda e: valid_url(e["loc"]) & url_allowed(base, e["loc"]) if strict else valid_url(e["loc"])
-    )
-    capped = F.when(kind == "text", F.slice(usable, 1, MAX_URLS)).otherwise(usable)
-    return url_rows(tagged, capped, strict)
+    date = F.coalesce(F.col("_atom")["modified"], F.col("_rss")["channel"]["pubDate"])
+    if cap is not None:
+        base = sitemap_base(F.col("sitemap_url"))
+        usable = F.filter(entries, lambda e: valid_url(e["loc"]) & url_allowed(base, e["loc"]) if strict else valid_url(e["loc"]))
+        entries = F.when(kind == "urlset", entries).otherwise(F.slice(usable, 1, cap))
+    return url_rows(parsed, entries, strict, date=date)
 
 
 def website_documents(urls: DataFrame) -> DataFrame:

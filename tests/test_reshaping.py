@@ -154,20 +154,26 @@ def test_preprocess_chain(spark):
     assert missing.select("v", "label").first() == ("dflt", None)
 
 
-def test_huge_parent_comes_in_pieces(spark):
-    """A parent with most of the rows, half of them exact copies of one position."""
-    rows = spark.range(3000, numPartitions=6).select(
-        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("k"),
+def test_huge_parent_keeps_all_children(spark):
+    """A parent with 10 050 children, half of them exact copies of one position, in every mode."""
+    rows = spark.range(10_100, numPartitions=6).select(
+        F.when(F.col("id") < 10_050, "hot").otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("id"),
         F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("n"),
-        F.lit("same").alias("t"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("cid"),
     )
-    out = cm.collect_children(rows, "k", "n", ["t"], max_children=100)
-    sizes = out.select("k", "part", "piece", F.size("comments").alias("size"))
-    assert sizes.agg(F.sum("size")).first()[0] == 3000
-    assert sizes.filter("k <> 'hot' AND piece <> 0 AND size > 1").count() == 0
-    assert sizes.filter("k = 'hot' AND part = 0").count() > 3
-    assert sizes.agg(F.max("size")).first()[0] < 600
-    back = out.select("k", F.explode("comments").alias("c")).select("k", "c.n", "c.t")
+    out = cm.collect_children(rows, "id", "n", ["cid"])
+    assert out.count() == 51
+    back = out.select("id", F.explode("comments").alias("c")).select("id", "c.n", "c.cid")
     assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
-    plain = cm.collect_children(rows.filter("k <> 'hot'"), "k", "n", ["t"])
-    assert plain.filter("part <> 0 OR piece <> 0").isEmpty()
+    docs = out.withColumn("spaceKey", F.lit("S"))
+    for mode, n in (("embedded", 51), ("child", 51 + 10_100), ("standalone", 51 + 10_100)):
+        cfg = SyncConfig(
+            source="s", document_id="id", read_mode="simple", fields={"k": "id"}, comment_mode=mode, comments="comments",
+            comment_id="cid", comment_type="comment", field_comments="all", comment_fields={"n": "n"},
+        )
+        stored = cm.index_rows(docs, cfg)
+        assert stored.select("doc_type", "doc_id").distinct().count() == stored.count() == n
+        if mode == "embedded":
+            body = stored.filter("doc_id = 'hot'").select(F.get_json_object("body", "$.all").alias("a"))
+            assert body.select(F.json_array_length("a")).first()[0] == 10_050
+

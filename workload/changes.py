@@ -13,7 +13,6 @@ from workload.base import at, millis, query, table, text
 CUT = at(2024, 1, 15)
 RUN_START = at(2024, 2, 1)
 CUT_SQL = "TIMESTAMP '2024-01-15'"
-NEW_SQL = "TIMESTAMP '2024-01-25'"
 ORDER = ["page_no", "pos"]
 CONFIG = SyncConfig(
     source="feed",
@@ -41,11 +40,9 @@ def feed(spark, d) -> DataFrame:
 
 
 def split(df: DataFrame):
-    """Documents before the cut, and those changed lately."""
-    return (
-        df.filter(F.col("updated") < F.lit("2024-01-15").cast("timestamp_ntz")),
-        df.filter(F.col("updated") >= F.lit("2024-01-25").cast("timestamp_ntz")),
-    )
+    """Documents before the cut, and those from it on."""
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    return df.filter(F.col("updated") < cut), df.filter(F.col("updated") >= cut)
 
 
 def target(spark, d) -> DataFrame:
@@ -64,7 +61,7 @@ old AS (SELECT id, space_key, upper(arg_max(event_type, event_id)) AS kind, arg_
 new AS (SELECT id, space_key, arg_max(event_type, event_id) FILTER (event_type <> 'error') AS kind,
                arg_max(value, event_id) FILTER (event_type <> 'error') AS value,
                max(event_id) FILTER (event_type <> 'error') AS up, max(event_id) FILTER (event_type = 'error') AS del
-        FROM e WHERE ts >= {NEW_SQL} GROUP BY ALL)
+        FROM e WHERE ts >= {CUT_SQL} GROUP BY ALL)
 """
 
 

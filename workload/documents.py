@@ -37,7 +37,7 @@ ORDER_CONFIG = SyncConfig(
 
 
 def thread_docs(spark, d) -> DataFrame:
-    """Conversations as documents with their turns as comments; a huge one comes in pieces."""
+    """Conversations as documents with their turns as comments."""
     turns = table(spark, d, "conversations").select(
         text("conv_id").alias("id"),
         F.col("turn"),

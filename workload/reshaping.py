@@ -197,22 +197,17 @@ def c2_mode_embedded(spark, d):
     cfg = thread_config("embedded")
     cfg.comment_fields["turn"] = FieldMapping("turn")
     out = cm.map_documents(thread_docs(spark, d), cfg)
-    # Numbers of each array first, then of the document: a huge one has several arrays.
     length = F.transform("all_comments", lambda c: F.struct(c["turn"].alias("t"), F.length(c["comment_body"]).alias("l")))
     turns = F.col("all_comments.turn")
 
     def total(value):
         return F.aggregate(length, F.lit(0).cast("bigint"), lambda acc, x: acc + value(x))
 
-    arrays = out.select(
-        "document_id", "space_key", F.size("all_comments").alias("n"),
-        F.size(F.filter("all_comments", lambda c: c["comment_author"]["username"] == "user")).alias("u"),
-        total(lambda x: x["l"]).alias("c"), total(lambda x: x["t"] * x["l"]).alias("w"),
-        (turns == F.array_sort(turns)).alias("sorted"),
-    )
-    return arrays.groupBy("document_id", "space_key").agg(
-        F.sum("n").alias("n"), F.sum("u").alias("by_user"), F.sum("c").alias("chars"), F.sum("w").alias("weighted"),
-        F.bool_and("sorted").alias("in_order"),
+    return out.select(
+        "document_id", "space_key", F.size("all_comments").cast("bigint").alias("n"),
+        F.size(F.filter("all_comments", lambda c: c["comment_author"]["username"] == "user")).cast("bigint").alias("by_user"),
+        total(lambda x: x["l"]).alias("chars"), total(lambda x: x["t"] * x["l"]).alias("weighted"),
+        (turns == F.array_sort(turns)).alias("in_order"),
     )
 
 
@@ -250,10 +245,7 @@ SELECT doc_type, doc_id, parent_id, body FROM (
 def c5_comment_body(spark, d):
     cfg = thread_config("child")
     cfg.comment_fields = {"comment_author": cfg.comment_fields["comment_author"]}
-    rows = cm.index_rows(thread_docs(spark, d), cfg).select("doc_type", "doc_id", "parent_id", "body")
-    # Every piece of a huge document repeats the document's own row.
-    own = F.col("doc_type") == "document"
-    return rows.filter(~own).unionByName(rows.filter(own).dropDuplicates(["doc_id"]))
+    return cm.index_rows(thread_docs(spark, d), cfg).select("doc_type", "doc_id", "parent_id", "body")
 
 
 @query("""
@@ -276,17 +268,12 @@ def c7_collect_children(spark, d):
     lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), "l_linenumber", "l_partkey")
     nested = cm.collect_children(lines, "id", "l_linenumber", ["l_partkey"], "lines")
     zero = F.lit(0).cast("bigint")
-    # Numbers of each array first, then of the parent: a huge one has several arrays.
-    arrays = nested.select(
-        "id", F.size("lines").alias("n"),
-        F.aggregate("lines.l_linenumber", zero, lambda acc, x: acc + x).alias("p"),
-        F.aggregate("lines.l_partkey", zero, lambda acc, x: acc + x).alias("k"),
-        F.array_min("lines.l_linenumber").alias("lo"), F.array_max("lines.l_linenumber").alias("hi"),
-        (F.col("lines.l_linenumber") == F.array_sort("lines.l_linenumber")).alias("sorted"),
-    )
-    return arrays.groupBy("id").agg(
-        F.sum("n").alias("n"), F.sum("p").alias("positions"), F.sum("k").alias("parts"), F.min("lo").alias("first_line"),
-        F.max("hi").alias("last_line"), F.bool_and("sorted").alias("in_order"),
+    return nested.select(
+        "id", F.size("lines").cast("bigint").alias("n"),
+        F.aggregate("lines.l_linenumber", zero, lambda acc, x: acc + x).alias("positions"),
+        F.aggregate("lines.l_partkey", zero, lambda acc, x: acc + x).alias("parts"),
+        F.array_min("lines.l_linenumber").alias("first_line"), F.array_max("lines.l_linenumber").alias("last_line"),
+        (F.col("lines.l_linenumber") == F.array_sort("lines.l_linenumber")).alias("in_order"),
     )
 
 
