@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from syncspark.session import ship_package
@@ -135,6 +136,17 @@ def box_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, left: n
                 yield leaf[x], other[y]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(doc_id, text) of batches, a few MB at a time."""
+    for batch in batches:
+        ids, texts, at = batch.column("doc_id"), batch.column("text").cast(pa.large_string()), 0
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH)))
+            yield ids.slice(at, to - at), texts.slice(at, to - at)
+            at = to
+
+
 def similar_documents(docs: DataFrame, words: int = 5) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of 0.8 or more.
 
@@ -149,16 +161,11 @@ def similar_documents(docs: DataFrame, words: int = 5) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body().alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, at = batch.column("text").cast(pa.large_string()), 0
-            sizes = np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False))
-            while at < len(texts):
-                to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH)))
-                hashes, starts = shingle_sets(texts.slice(at, to - at), words)
-                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(hashes), mix(hashes + np.uint64(0x5851F42D4C957F2D)))]
-                one, two = [(x[starts[1:]] - x[starts[:-1]]).view(np.int64) for x in sums]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, to - at), pa.array(np.diff(starts)), pa.array(one), pa.array(two)], names=["doc_id", "n", "one", "two"])
-                at = to
+        for ids, texts in _slices(batches):
+            hashes, starts = shingle_sets(texts, words)
+            sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(hashes), mix(hashes + np.uint64(0x5851F42D4C957F2D)))]
+            one, two = [(x[starts[1:]] - x[starts[:-1]]).view(np.int64) for x in sums]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(starts)), pa.array(one), pa.array(two)], names=["doc_id", "n", "one", "two"])
 
     signed = written(docs.mapInArrow(sign, "doc_id long, n long, one long, two long"), "signed")
     # Equal sets are one point: the smallest id stands for them.
@@ -185,11 +192,11 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
 
     def sets(docs_: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(ids, hashes, starts) of the points among some documents, a few MB at a time."""
-        wanted = right.filter(pa.compute.equal(right["bucket"], -1))["n"]
-        docs_ = docs_.filter(pa.compute.is_in(docs_["doc_id"], wanted.combine_chunks()))
+        wanted = right.filter(pc.equal(right["bucket"], -1))["n"]
+        docs_ = docs_.filter(pc.is_in(docs_["doc_id"], wanted.combine_chunks()))
         texts = pa.concat_arrays([c.cast(pa.large_string()) for c in docs_["text"].chunks] or [pa.array([], pa.large_string())])
         ids, at = docs_["doc_id"].to_numpy(), 0
-        sizes = np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False))
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         while at < len(ids):
             to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH)))
             hashes, starts = shingle_sets(texts.slice(at, to - at), words)
@@ -224,33 +231,32 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
         parts = [(ids, hashes, starts, list(keys_of(hashes, starts))) for ids, hashes, starts in sets(docs_, right)]
         every = np.sort(np.concatenate([np.zeros(0, np.uint64), *[k for *_, found in parts for k, _, _ in found]]))
         names = np.unique(every)
-        shared = _bits(right.filter(pa.compute.greater_equal(right["bucket"], 0)), len(names))
+        shared = _bits(right.filter(pc.greater_equal(right["bucket"], 0)), len(names))
         shared |= np.isin(names, every[1:][every[1:] == every[:-1]])
         out: list[tuple] = []
         for ids, hashes, starts, found in parts:
-            seen: set[int] = set()
             for keys, of, level in found:
                 at = np.flatnonzero(shared[np.searchsorted(names, keys)])
                 for piece in np.split(at, np.flatnonzero(np.diff(of[at])) + 1) if len(at) else []:
                     i = int(of[piece[0]])
                     mine = hashes[starts[i] : starts[i + 1]]
-                    whole = None if i in seen else mine.astype("<u8").tobytes()
-                    seen.add(i)
-                    out.append((int(ids[i]), len(mine), int(level[piece[0]]), keys[piece].astype(np.int64), _counts(mine, int(level[piece[0]])).tobytes(), whole))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)], names=["doc_id", "n", "level", "keys", "counts", "hashes"])
+                    out.append((int(ids[i]), len(mine), int(level[piece[0]]), keys[piece].astype(np.int64), _counts(mine, int(level[piece[0]])).tobytes()))
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=["doc_id", "n", "level", "keys", "counts"])
 
     names = rows.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(send_keys, "chunk long, bucket long, names binary")
     answers = names.groupBy("bucket").applyInArrow(seen_elsewhere, "chunk long, bucket long, n long, bits binary")
     both = kept.union(answers)
-    cells = rows.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(in_cells, "doc_id long, n long, level int, keys array<long>, counts binary, hashes binary")
+    cells = rows.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(in_cells, "doc_id long, n long, level int, keys array<long>, counts binary")
     cells = written(cells, "cells")
-    sets_ = cells.filter("hashes is not null").select("doc_id", "hashes")
+    at = cells.select("doc_id", "level", "n", "counts")
     keys = cells.select("doc_id", "level", F.explode("keys").alias("key"))
     # Each with the smallest of its cell.
     least = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").drop("z")
-    stars = keys.join(least, "key").filter("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
-    first = written(_verified(stars, sets_), "links")
+    stars = keys.join(least, "key").filter("doc_id > a").select("a", F.col("doc_id").alias("b"), "level").distinct()
+    for side in ("a", "b"):
+        stars = stars.join(at.select(F.col("doc_id").alias(side), "level", F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}")), [side, "level"])
+    first = written(_verified(_bounded(stars).distinct(), docs, words), "links")
     # Then all that are in a cell and not yet in one component.
     found = components(first)
     labelled = keys.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
@@ -259,7 +265,7 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
     own = F.pmod(F.xxhash64("doc_id"), blocks.cast("long")).cast("int")
     apart = labelled.join(mixed.drop("x", "y"), "key").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     apart = apart.select("key", "doc_id", "level", "label", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-    apart = apart.join(cells.select("doc_id", "level", "n", "counts"), ["doc_id", "level"])
+    apart = apart.join(at, ["doc_id", "level"])
     apart = apart.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(chunks)))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
@@ -280,12 +286,39 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
         return pd.concat(out, ignore_index=True).drop_duplicates()
 
     pairs = apart.groupBy("task").applyInPandas(join, "a long, b long").distinct()
-    second = written(_verified(pairs, sets_), "links")
+    second = written(_verified(pairs, docs, words), "links")
     return first.union(second)
 
 
-def _verified(pairs: DataFrame, sets_: DataFrame) -> DataFrame:
+def _bounded(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b) with sizes and counts, those whose smaller counts sum up to enough."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for m, n, x, y in zip(batch["n_a"].to_pylist(), batch["n_b"].to_pylist(), batch["counts_a"].to_pylist(), batch["counts_b"].to_pylist(), strict=True):
+                p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                full = p.max(initial=0) == 255 or q.max(initial=0) == 255  # counts end there
+                keep.append(5 * m >= 4 * n and 5 * n >= 4 * m and (full or 9 * int(np.minimum(p, q).sum(dtype=np.int64)) >= 4 * (m + n)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(check, "a long, b long")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """Of pairs (a, b), those with 100 * intersection >= 80 * union."""
+    pairs = written(pairs, "pairs")
+    # The sets of these documents only: written first, few ids go to the texts and not the texts to them.
+    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _slices(batches):
+            hashes, starts = shingle_sets(texts, words)
+            found = [hashes[x:y].astype("<u8").tobytes() for x, y in zip(starts[:-1], starts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.binary())], names=["doc_id", "hashes"])
+
+    held = docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(sets, "doc_id long, hashes binary")
+    held = written(held, "sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,5 +332,5 @@ def _verified(pairs: DataFrame, sets_: DataFrame) -> DataFrame:
                 keep.append(100 * common >= 80 * (len(both) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(sets_.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b").join(sets_.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
+    joined = pairs.join(held.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b").join(held.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
     return joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")

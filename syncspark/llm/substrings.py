@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from syncspark.session import ship_package
@@ -257,9 +258,9 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
         names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: len(kinds)]
         if not docs_.num_rows:
             return pa.Table.from_arrays([pa.array([], k) for k in kinds], names=names)
-        chunk = chosen(docs_, both.filter(pa.compute.equal(both["step"], 1)))
+        chunk = chosen(docs_, both.filter(pc.equal(both["step"], 1)))
         ids, found = docs_["doc_id"].to_pylist(), []
-        for i, n, gone, left in chunk.remove(_bits(both.filter(pa.compute.equal(both["step"], 2)), len(chunk.distinct[0]))):
+        for i, n, gone, left in chunk.remove(_bits(both.filter(pc.equal(both["step"], 2)), len(chunk.distinct[0]))):
             found.append((ids[i], n, gone, hashlib.sha256(left).hexdigest()) + ((left.decode(),) if with_text else ()))
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 

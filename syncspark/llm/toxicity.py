@@ -84,8 +84,11 @@ class Model:
 
     weight: np.ndarray
     bias: float
+    always: float | None = None  # the score of all texts, where there was nothing to learn
 
     def score(self, texts: pa.Array) -> np.ndarray:
+        if self.always is not None:
+            return np.full(len(texts), self.always)
         data, starts = _plain(texts)
         begins, ends, before = split_words(data, starts)
         out = np.full(len(texts), -np.logaddexp(0, self.bias))
@@ -105,8 +108,7 @@ class Model:
 def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Model:
     """Fit vectors and softmax to whole documents and their labels (0 or 1)."""
     if not len(texts) or toxic.min() == toxic.max():  # nothing to tell apart
-        rate = float(np.clip(toxic.mean(), 0.01, 0.99)) if len(texts) else 0.01
-        return Model(np.zeros(BUCKETS), float(np.log(rate / (1 - rate))))
+        return Model(np.zeros(BUCKETS), 0.0, float(toxic.mean()) if len(texts) else 0.0)
     data, starts = _plain(pa.array(texts, pa.large_string()))
     begins, ends, before = split_words(data, starts)
     words, code = word_codes(data, begins, ends)
@@ -169,13 +171,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "toxic": []}), *frames], ignore_index=True).sort_values(["doc_id", "text"])
         model = train(found["text"].tolist(), found["toxic"].to_numpy(np.int64))
-        yield pd.DataFrame({"weight": [model.weight.astype("<f8").tobytes()], "bias": [model.bias]})
+        yield pd.DataFrame({"weight": [model.weight.astype("<f8").tobytes()], "bias": [model.bias], "always": [model.always]}, dtype="object")
 
     # A bounded sample, so one task may hold it.
-    got = rows.repartition(1).mapInPandas(learn, "weight binary, bias double").first()
+    got = rows.repartition(1).mapInPandas(learn, "weight binary, bias double, always double").first()
     if got is None:
         return train([], np.zeros(0))
-    return Model(np.frombuffer(got["weight"], "<f8"), got["bias"])
+    return Model(np.frombuffer(got["weight"], "<f8"), got["bias"], got["always"])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
@@ -183,11 +185,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, s
 
     The whole text decides, nothing else. A null or empty text gets the score of a clean
     stretch. Rows with crc32 of the id modulo 3 equal to 1 are held out of training; a null
-    id isn't held out. Without labels of both kinds all scores are the share of toxic labels.
+    id isn't held out. Without labels of both kinds all scores are the share
+    of toxic labels, 0 without any.
     """
     ship_package(docs.sparkSession)
     model = fit(docs, labels, sample)
-    sent = docs.sparkSession.sparkContext.broadcast(Model(model.weight.astype(np.float32), model.bias))
+    sent = docs.sparkSession.sparkContext.broadcast(Model(model.weight.astype(np.float32), model.bias, model.always))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
