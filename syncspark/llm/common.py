@@ -6,10 +6,11 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from syncspark.session import shared_folder
+from syncspark.session import shared_folder, ship_package
 
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 1000
 
 
 def body(column: str = "text") -> Column:
@@ -21,6 +22,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def ready(spark: SparkSession) -> None:
+    """Prepare for Python in tasks: the package is sent, and texts come a thousand at a time,
+    as batches of ten thousand long ones would fill a worker's memory."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the folder all executors share."""
     return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"

@@ -15,9 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from syncspark.session import ship_package
-
-from .common import SPACE, body, partitions, written
+from .common import SPACE, body, partitions, ready, written
 
 OPENING = 64
 _SPACE = SPACE.encode()
@@ -59,7 +57,7 @@ def _number_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sorted_runs(docs: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id, chars, text_sha256, part, run, first) and the joined edge runs."""
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     bare = F.translate(body(), SPACE, "")
     kept = [F.col(f"`{c}`") for c in columns]
     rows = docs.select(

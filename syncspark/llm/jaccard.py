@@ -27,16 +27,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from syncspark.session import ship_package
-
-from .common import body, partitions, written
+from .common import body, partitions, ready, written
 from .components import components
 from .substrings import _bits, _packed, _table, _unpacked
 from .words import gram_hashes, mix, span_hashes, split_words, text_bytes
 
 STEP = 1.25  # similar sets differ in size by this factor at most
 SMALL = 48  # below it a group holds one shingle
-CHUNK_BYTES = 1 << 24
+CHUNK_BYTES = 1 << 23
 SPARE = 4096  # names per key: how seldom different keys share one
 LEAF = 32
 BLOCK = 4096  # documents of a cell that one task takes at once
@@ -157,7 +155,7 @@ def similar_documents(docs: DataFrame, words: int = 5) -> DataFrame:
     component. Rows that repeat an id are one document. No rows give no rows.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body().alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,9 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from syncspark.session import ship_package
-
-from .common import body, written
+from .common import body, ready, written
 from .toxicity import BATCH, BUCKETS, subwords
 from .words import split_words, text_bytes, word_codes
 
@@ -118,7 +116,7 @@ def identify(rows: DataFrame, model: Likelihoods, keys: list[str], accept: float
     get each its own result. No rows give no rows.
     """
     spark = rows.sparkSession
-    ship_package(spark)
+    ready(spark)
     sent, n = spark.sparkContext.broadcast(model), len(model.languages)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

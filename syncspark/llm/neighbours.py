@@ -19,9 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from syncspark.session import ship_package
-
-from .common import written
+from .common import ready, written
 
 TREES = 16
 BITS = 32
@@ -61,7 +59,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREE
     vec_id counts once. With few rows all of them are compared.
     """
     spark = table.sparkSession
-    ship_package(spark)
+    ready(spark)
     among = Window.partitionBy("vec").orderBy("vec_id")
     all_rows = usable_vectors(table).dropDuplicates(["vec_id"])
     rows = written(all_rows.withColumn("i", F.row_number().over(among)).filter(F.col("i") <= k + 1).drop("i"), "vectors")

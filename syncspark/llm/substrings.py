@@ -25,9 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from syncspark.session import ship_package
-
-from .common import body, partitions
+from .common import body, partitions, ready
 from .words import gram_hashes, mix, powers, span_hashes, split_words, text_bytes
 
 ROUNDS = 2
@@ -188,7 +186,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) ->
     any length; no rows give no rows. Other columns aren't read.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(partitions(spark), math.ceil(size / CHUNK_BYTES))
     bits = min(62, max(20, math.ceil(math.log2(SPARE * size / 4 + 1))))

@@ -9,13 +9,16 @@ are put together from them in numpy.
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
+from .words import span_hashes
+
 # Stretches that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 _SPACE, _LETTER, _MARK = np.zeros((3, 256), bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -72,23 +75,35 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        # Stretches are known by 128 bits of hashes: as strings they would take ten times as much.
+        self.one, self.two, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, stretches: list[str]) -> None:
+    def _learn(self, stretches: list[str], one: np.ndarray, two: np.ndarray) -> None:
         model, letters, found, rest = self.tokenizer.model, self.letters, [], []
         for i, s in enumerate(stretches):
             if s.isalpha() or (s[0] == " " and s[1:].isalpha()):  # one piece
-                found.append([t.id for t in model.tokenize(s.encode().decode("latin-1").translate(letters))])
+                found.append(array("I", [t.id for t in model.tokenize(s.encode().decode("latin-1").translate(letters))]))
             else:
                 found.append(None)
                 rest.append(i)
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([stretches[i] for i in rest], add_special_tokens=False), strict=True):
-            found[i] = e.ids
-        self.known.update(zip(stretches, range(len(self.known), len(self.known) + len(stretches)), strict=True))
+            found[i] = array("I", e.ids)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
+        slots = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(found))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum()))])
+        self.ids = np.concatenate([self.ids, *[np.frombuffer(b"".join(x.tobytes() for x in found), np.uint32)]])
+        own = np.argsort(one, kind="stable")
+        one = np.concatenate([self.one, one[own]])
+        order = np.argsort(one, kind="stable")
+        self.one, self.two, self.slot = one[order], np.concatenate([self.two, two[own]])[order], np.concatenate([self.slot, slots[own]])[order]
+
+    def _slots(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Where stretches are remembered, -1 if they aren't."""
+        if not len(self.one):
+            return np.full(len(one), -1)
+        at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        return np.where((self.one[at] == one) & (self.two[at] == two), self.slot[at], -1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids start (one more entry than texts). No nulls."""
@@ -105,12 +120,18 @@ class Encoder:
         bounds = bounds[np.concatenate([[True], bounds[1:] != bounds[:-1]])]
         stretches = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data))
         coded = stretches.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > REMEMBERED:
+        distinct = coded.dictionary
+        edge = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
+        letters = np.frombuffer(distinct.buffers()[2], np.uint8)
+        one, two = (span_hashes(letters, edge[:-1], edge[1:], seed) for seed in (5, 6))
+        if len(self.slot) + len(distinct) > REMEMBERED:
             self._forget()
-        if new := [s for s in distinct if s not in self.known]:
-            self._learn(new)
-        slots = np.fromiter((self.known[s] for s in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        slots = self._slots(one, two)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            self._learn(distinct.take(pa.array(new)).to_pylist(), one[new], two[new])
+            slots = self._slots(one, two)
+        slots = slots[coded.indices.to_numpy()]
         lengths = self.starts[slots + 1] - self.starts[slots]
         out = np.concatenate([[0], np.cumsum(lengths)])
         at = np.repeat(self.starts[slots] - out[:-1], lengths) + np.arange(out[-1])

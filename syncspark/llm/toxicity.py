@@ -19,9 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from syncspark.session import ship_package
-
-from .common import body
+from .common import body, ready
 from .words import mix, split_words, text_bytes, word_codes
 
 GRAMS = (3, 4, 5)
@@ -188,7 +186,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, s
     id isn't held out. Without labels of both kinds all scores are the share
     of toxic labels, 0 without any.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     model = fit(docs, labels, sample)
     sent = docs.sparkSession.sparkContext.broadcast(Model(model.weight.astype(np.float32), model.bias, model.always))
 
