@@ -1,7 +1,8 @@
 """The target of a synchronisation as append-only Parquet tables.
 
 ``rows``      every version of every row, partitioned by source, space, run and kind
-``runs``      the finished runs; a run counts once its row is here
+``runs``      the finished runs; a run counts once its row is here. Runs of streams name
+              the stream and its batch
 ``state``     watermarks and flags, one generation per run
 ``plans``     the spaces each run set out to read
 ``reports``   the counters of each run
@@ -15,6 +16,8 @@ what removes the rows it did not refresh.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,7 +31,7 @@ ROWS_SCHEMA = (
     "source string, space_key string, run_id bigint, op string"
 )
 ROWS_PARTITIONS = ["source", "space_key", "run_id", "op"]
-RUNS_SCHEMA = "source string, space_key string, run_id bigint, full boolean"
+RUNS_SCHEMA = "source string, space_key string, run_id bigint, full boolean, stream string, batch_id bigint"
 ORDER = ["run_id", "page_no", "pos"]
 
 
@@ -55,6 +58,22 @@ class SyncStore:
     def runs(self) -> DataFrame:
         return self.read("runs", RUNS_SCHEMA)
 
+    def next_run(self) -> int:
+        """Number of a new run, above all finished ones: passes and streams share one order."""
+        last = self.runs().agg(F.max("run_id")).first()[0] or 0
+        return max(time.time_ns() // 1000, last + 1)
+
+    def commit(self, runs: DataFrame, run_id: int, stream: str | None = None, batch_id: int | None = None) -> None:
+        """Make the rows of a run visible for the spaces in ``runs`` (source, space_key, full)."""
+        runs.select(
+            "source", "space_key", F.lit(run_id).cast("bigint").alias("run_id"), "full",
+            F.lit(stream).cast("string").alias("stream"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+        ).write.mode("append").parquet(self.path("runs"))
+
+    def has_batch(self, stream: str, batch_id: int) -> bool:
+        """Whether a batch of a stream was committed; it is then not stored again."""
+        return not self.runs().filter((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty()
+
     def activity(self) -> DataFrame:
         from syncspark.operators.activity import RECORD_SCHEMA
 
@@ -91,12 +110,17 @@ class SyncStore:
         # True of every run, but only a side with a filter is used to prune partitions.
         return live.filter("run_id >= 0")
 
-    def current(self, columns: list[str] = ("parent_id", "body", "indexed_at"), runs: DataFrame | None = None) -> DataFrame:
+    def current(
+        self, columns: list[str] = ("parent_id", "body", "indexed_at"), runs: DataFrame | None = None, only: DataFrame | None = None,
+    ) -> DataFrame:
         """Rows of the target: the newest version of each key that no later delete hits.
 
         ``columns`` names what is wanted beyond key and scope; the rest is not read.
+        ``only`` some documents (source, space_key, document_id) are looked at, if given.
         """
         live = keyed_join(self.rows(), self.live_runs(runs), ["source", "space_key", "run_id"], "left_semi", hot=True)
+        if only is not None:
+            live = keyed_join(live, only, DELETE_SCOPE, "left_semi")
         held = [c for c in DELETE_SCOPE if c not in ROW_KEY] + list(columns)
         order = F.struct(*ORDER)
         newest = (

@@ -96,24 +96,37 @@ def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id:
 
 
 def _counters(
-    store: SyncStore, cfg: SyncConfig, before: DataFrame, kinds: DataFrame, run_id: int, some_full: bool, some_partial: bool
+    store: SyncStore, cfg: SyncConfig, before_runs: DataFrame, kinds: DataFrame, run_id: int, some_full: bool, some_partial: bool
 ) -> DataFrame:
-    """Counters per space: what the run wrote, and what it takes from the target."""
+    """Counters per space: what the run wrote, and what it takes from the target.
+
+    Of the target, only the documents that an incremental run deletes are looked at, and
+    the spaces that a full run restarts.
+    """
     keys = ["source", "space_key"]
     written = store.rows().filter(F.col("run_id") == run_id)
     joined = kinds.join(_written(written, cfg), keys, "left")
-    scope = before.filter((F.col("source") == cfg.source) & F.col("doc_type").isin(*cfg.doc_types))
-    scope = scope.join(kinds.select(*keys, "full"), keys)
     removed = []
+    of_source = F.col("doc_type").isin(*cfg.doc_types)
+
+    def taken(full: bool, only: DataFrame | None) -> DataFrame:
+        spaces = kinds.filter(F.col("full") == F.lit(full)).select(*keys)
+        runs = before_runs.join(spaces, keys, "left_semi")
+        return store.current(columns=[], runs=runs, only=only).filter(of_source)
+
     if some_partial:
         deletes = written.filter("op = 'delete'").select(*DELETE_SCOPE).distinct()
-        removed.append(keyed_join(scope.filter("not full"), deletes, DELETE_SCOPE, "left_semi"))
+        if not deletes.isEmpty():
+            removed.append(taken(False, deletes))
     if some_full:
         # Both sides are of the size of the target, so neither is worth measuring.
         fresh = written.filter("op = 'upsert'").select(*ROW_KEY)
-        removed.append(scope.filter("full").join(fresh, ROW_KEY, "left_anti"))
-    rows = reduce(DataFrame.unionByName, [r.select(*keys, "doc_type") for r in removed])
-    joined = joined.join(delete_counters(rows, cfg.doc_type), keys, "left")
+        removed.append(taken(True, None).join(fresh, ROW_KEY, "left_anti"))
+    if removed:
+        rows = reduce(DataFrame.unionByName, [r.select(*keys, "doc_type") for r in removed])
+        joined = joined.join(delete_counters(rows, cfg.doc_type), keys, "left")
+    else:
+        joined = joined.withColumns({c: F.lit(0).cast("bigint") for c in ("documents_deleted", "comments_deleted")})
     ok = F.col("failure").isNull()
     counted = [F.when(ok, F.coalesce(c, F.lit(0))).otherwise(0).cast("bigint").alias(c) for c in COUNTERS]
     return joined.select(
@@ -156,7 +169,7 @@ def sync_once(
     as failed and its rows never become visible, the other spaces go on. An error of the
     whole pass, such as a reader that breaks, fails all of its spaces.
     """
-    run_id = time.time_ns() // 1000
+    run_id = store.next_run()
     began = time.monotonic()
     state = store.state(cfg.source)
     due = st.planned_runs(spaces, state, now, cfg.update_period, cfg.full_update_period)
@@ -176,8 +189,7 @@ def sync_once(
         rows.hint("rebalance", "source", "space_key").write.mode("append").partitionBy(*ROWS_PARTITIONS).parquet(
             store.path("rows")
         )
-        before = store.current(columns=[], runs=before_runs)
-        counted = _counters(store, cfg, before, kinds, run_id, some_full=full > 0, some_partial=full < total)
+        counted = _counters(store, cfg, before_runs, kinds, run_id, some_full=full > 0, some_partial=full < total)
         runs = store.save(_run_rows(counted, now, began), "reports", run_id)
     except Exception as error:  # noqa: BLE001 - any failure becomes the result of the run
         lines = str(error).strip().splitlines()
@@ -187,16 +199,40 @@ def sync_once(
             F.lit(False).alias("ok"), F.lit(failure).alias("error_message"), F.lit(None).cast("timestamp").alias("watermark"),
         )
         runs = store.save(_run_rows(failed, now, began), "reports", run_id)
-    sinks.append_activity(act.activity_row(runs), store.path("activity"))
-    store.write_state(_next_state(state, runs, cfg, now), cfg.source, run_id)
+    # First the data, then how far it goes: a pass that dies in between reads it once more.
     if failure is None:
-        # The rows that make the run count come last.
-        runs.filter("ok").select("source", "space_key", F.lit(run_id).alias("run_id"), "full").coalesce(1).write.mode(
-            "append"
-        ).parquet(store.path("runs"))
+        store.commit(runs.filter("ok"), run_id)
+    store.write_state(_next_state(state, runs, cfg, now), cfg.source, run_id)
+    sinks.append_activity(act.activity_row(runs), store.path("activity"))
     return RunReport(run_id, runs)
 
 
+def store_batch(store: SyncStore, cfg: SyncConfig, docs: DataFrame, now: datetime, stream: str, batch_id: int) -> None:
+    """Store a batch of a stream as an incremental run, once however often it is tried.
+
+    The run has its number from the store, as passes have. A document that cannot be stored
+    is counted as an error and left out: a stream does not read it again. The update time
+    of the spaces only advances.
+    """
+    if store.has_batch(stream, batch_id):
+        return
+    run_id, began, keys = store.next_run(), time.monotonic(), ["source", "space_key"]
+    before_runs, state = store.runs(), store.state(cfg.source)
+    rows = target_rows(docs, cfg, now, run_id, strict=False)
+    rows = rows.withColumn("op", F.when(F.col("op") == "error", "skipped").otherwise(F.col("op")))
+    rows.hint("rebalance", *keys).write.mode("append").partitionBy(*ROWS_PARTITIONS).parquet(store.path("rows"))
+    spaces = store.rows().filter(F.col("run_id") == run_id).select(*keys).distinct()
+    marks = state.filter(F.col("property") == st.WATERMARK).select(*keys, F.col("value").alias("updated_after"))
+    kinds = spaces.join(marks, keys, "left").withColumn("full", F.lit(False))
+    kinds = store.save(kinds, "plans", run_id)
+    counted = _counters(store, cfg, before_runs, kinds, run_id, some_full=False, some_partial=True)
+    counted = counted.join(kinds.select(*keys, "updated_after"), keys).withColumn("watermark", F.greatest("watermark", "updated_after"))
+    runs = store.save(_run_rows(counted.drop("updated_after"), now, began), "reports", run_id)
+    store.commit(runs, run_id, stream, batch_id)
+    store.write_state(_next_state(state, runs, cfg, now), cfg.source, run_id)
+    sinks.append_activity(act.activity_row(runs), store.path("activity"))
+
+
 def _run_rows(counted: DataFrame, now: datetime, began: float) -> DataFrame:
     return counted.select(
         "*",

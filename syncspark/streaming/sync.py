@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from syncspark.config import SyncConfig
-from syncspark.plans.store import ROWS_PARTITIONS, SyncStore
-from syncspark.plans.sync import target_rows
+from syncspark.plans.store import SyncStore
+from syncspark.plans.sync import store_batch
 
 
 def _start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, period: str | None, mode: str = "append") -> StreamingQuery:
@@ -30,39 +30,20 @@ def continuous_sync(
 ) -> StreamingQuery:
     """Store every batch of a document stream as an incremental run.
 
-    ``docs``: documents with spaceKey, page_no and pos. The batch number is the run, so
-    a batch that is repeated after a failure replaces its own files and nothing else;
-    keys are resolved when the target is read. Without ``period`` the stream handles
-    what is there and stops.
+    ``docs``: documents with spaceKey, page_no and pos. A batch is a run of the store like
+    a pass, known by the stream and the batch's number: a batch that is repeated after a
+    failure is not stored twice, and streams and passes may share a store. Run records
+    and update times are kept as by a pass. Without ``period`` the stream handles what
+    is there and stops.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = target_rows(batch, cfg, clock(), batch_id)
-        spark = batch.sparkSession
-        (
-            rows.hint("rebalance", "source", "space_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*ROWS_PARTITIONS).parquet(store.path("rows"))
-        )
-        stored = spark.read.schema(store.rows().schema).parquet(store.path("rows")).filter(F.col("run_id") == batch_id)
-        counters = batch_progress(stored, cfg.doc_type, batch_id)
-        counters.write.mode("overwrite").parquet(f"{store.path('progress')}/batch_id={batch_id}")
-        stored.select("source", "space_key", "run_id", F.lit(False).alias("full")).distinct().write.mode("append").parquet(
-            store.path("runs")
-        )
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        store_batch(store, cfg, batch, clock(), query, batch_id)
 
     return _start(docs, sink, checkpoint, period)
 
 
-def batch_progress(rows: DataFrame, doc_type: str, batch_id: int) -> DataFrame:
-    """Run counters of one batch per space."""
-    own = F.col("doc_type") == doc_type
-    return rows.groupBy("source", "space_key").agg(
-        F.count_if(own & (F.col("op") == "upsert")).alias("documents_updated"),
-        F.count_if(own & (F.col("op") == "delete")).alias("documents_deleted"),
-        F.max("updated").alias("last_updated"),
-    ).withColumn("run_id", F.lit(batch_id).cast("bigint"))
-
-
 def latest_by_key(stream: DataFrame, keys: list[str], order: list[str], deleted: str, fields: list[str]) -> DataFrame:
     """Newest state per key with its tombstone flag, as a streaming aggregate.
 
@@ -93,9 +74,13 @@ def read_latest(changed: DataFrame, keys: list[str]) -> DataFrame:
     return resolved.filter(~F.col("deleted")).select(*kept)
 
 
-def absorb_rereads(stream: DataFrame, keys: list[str], updated: str, delay: str) -> DataFrame:
+def absorb_rereads(stream: DataFrame, keys: list[str], updated: str, delay: str | None = None) -> DataFrame:
     """Drop a document version that an inclusive watermark delivers again.
 
-    State is kept for ``delay`` behind the newest update time, which bounds it.
+    Every version is remembered, however late it comes; the state store should be one on
+    disk. With ``delay`` the state is bounded: versions that much behind the newest update
+    time are forgotten, and what comes later than that is left out.
     """
+    if delay is None:
+        return stream.dropDuplicates([*keys, updated])
     return stream.withWatermark(updated, delay).dropDuplicatesWithinWatermark([*keys, updated])

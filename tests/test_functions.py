@@ -1,3 +1,6 @@
+import random
+from datetime import datetime, timedelta, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,31 +10,43 @@ from syncspark.functions import dates, paths, text, urls
 V = F.col("v")
 
 
-def test_format_iso_keeps_millis_unpadded(values):
-    iso = dates.format_iso(dates.parse_iso(V))
-    assert values(["2012-08-14T08:00:00.000-0400", "2012-08-14T08:00:10.545-04:00", "", None, "  "], iso) == [
-        "2012-08-14T12:00:00.0+0000", "2012-08-14T12:00:10.545+0000", None, None, None,
-    ]
+def moments(n, seed=1):
+    """Random times with an offset from UTC, to the millisecond."""
+    rng = random.Random(seed)
+    for _ in range(n):
+        offset = timezone(timedelta(minutes=rng.choice([-570, -300, 0, 60, 345, 840])))
+        at = datetime(2000, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=rng.randrange(10**9), milliseconds=rng.choice([0, 7, 70, 999]))
+        yield at.astimezone(offset)
+
+
+def plain_iso(at):
+    """The stored form: UTC, milliseconds without padding."""
+    at = at.astimezone(timezone.utc)
+    return at.strftime("%Y-%m-%dT%H:%M:%S") + f".{at.microsecond // 1000}+0000"
 
 
-def test_minute_precision(values):
-    given = [f"2012-08-14T08:00:{s}-0400" for s in ("00.000", "00.001", "10.545", "59.999")]
-    assert set(values(given, dates.format_iso(dates.parse_iso_minute(V)))) == {"2012-08-14T12:00:00.0+0000"}
+def test_iso_times_of_any_offset(values):
+    times = list(moments(40))
+    texts = [t.strftime("%Y-%m-%dT%H:%M:%S") + f".{t.microsecond // 1000:03d}" + (t.strftime("%z") if i % 2 else f"{t:%z}"[:3] + ":" + f"{t:%z}"[3:]) for i, t in enumerate(times)]
+    assert values([*texts, "", None, "\t"], dates.format_iso(dates.parse_iso(V))) == [*map(plain_iso, times), None, None, None]
+    minutes = [plain_iso(t.replace(second=0, microsecond=0)) for t in times]
+    assert values(texts, dates.format_iso(dates.parse_iso_minute(V))) == minutes
 
 
-@pytest.mark.parametrize(
-    "given, fmt",
-    [
-        ("1344902400", dates.UNIX_EPOCH),
-        ("1344902400000", dates.MILLISECOND_EPOCH),
-        ("2012-08-14", "YYYY-MM-dd"),
-        ("1344902400000", None),
-        ("2012-08-14T00:00:00.000-0000", " "),
-    ],
-)
-def test_parse_datetime(values, given, fmt):
-    parsed = dates.parse_datetime(V, fmt)
-    assert values([given], dates.format_iso(parsed)) == ["2012-08-14T00:00:00.0+0000"]
+@pytest.mark.parametrize("fmt, write, exact", [
+    (dates.UNIX_EPOCH, lambda t: str(int(t.timestamp())), "second"),
+    (dates.MILLISECOND_EPOCH, lambda t: str(round(t.timestamp() * 1000)), "millisecond"),
+    (None, lambda t: str(round(t.timestamp() * 1000)), "millisecond"),
+    ("YYYY-MM-dd", lambda t: t.astimezone(timezone.utc).strftime("%Y-%m-%d"), "day"),
+])
+def test_times_in_a_format_and_back(values, fmt, write, exact):
+    times = [t.astimezone(timezone.utc) for t in moments(20, seed=2)]
+    cut = {"second": {"microsecond": 0}, "millisecond": {}, "day": {"hour": 0, "minute": 0, "second": 0, "microsecond": 0}}[exact]
+    given = [write(t) for t in times]
+    assert values(given, dates.format_iso(dates.parse_datetime(V, fmt))) == [plain_iso(t.replace(**cut)) for t in times]
+    if fmt is not None:
+        padded = [t.strftime("%Y-%m-%dT%H:%M:%S") + f".{t.microsecond // 1000:03d}+0000" for t in times]
+        assert values(padded, dates.format_datetime(dates.parse_iso(V), fmt)) == given
 
 
 def test_unreadable_date_fails_when_strict(values):
@@ -40,31 +55,33 @@ def test_unreadable_date_fails_when_strict(values):
         values(["nonsense"], dates.parse_datetime(V, strict=True))
 
 
-def test_format_datetime(values):
-    ts = dates.parse_iso(V)
-    given = ["2012-08-14T08:00:00.000-0400", None]
-    assert values(given, dates.format_datetime(ts, dates.MILLISECOND_EPOCH)) == ["1344945600000", None]
-    assert values(given, dates.format_datetime(ts, dates.UNIX_EPOCH)) == ["1344945600", None]
-    assert values(given, dates.format_datetime(ts, "YYYY-MM-dd")) == ["2012-08-14", None]
-    assert values(given, dates.format_datetime(ts, "")) == ["2012-08-14T12:00:00.0+0000", None]
-
-
 def test_sitemap_lastmod(values):
-    given = [
-        "2005-01-01", "2004-12-23T18:00:15+00:00", "2004-12-23T18:00-05:00", "2004-12-23T18:00:15Z",
-        "Tue, 10 Jun 2003 04:00:00 GMT", "Tue, 10 Jun 2003 04:00:00 +0130", "2005-13-32", "x", None, "",
-    ]
-    assert values(given, dates.format_iso(dates.sitemap_lastmod(V))) == [
-        "2005-01-01T00:00:00.0+0000", "2004-12-23T18:00:15.0+0000", "2004-12-23T18:00:00.0+0000", "2004-12-23T00:00:00.0+0000",
-        "2003-06-10T04:00:00.0+0000", "2003-06-10T02:30:00.0+0000", "2006-02-01T00:00:00.0+0000", None, None, None,
-    ]
+    """Dates, times to the minute or second (as written, without their offset), and dates of
+    mail; the rest has no date."""
+    cases = {}
+    for t in moments(30, seed=3):
+        t = t.replace(microsecond=0)
+        if t.utcoffset() not in (timedelta(0), timedelta(hours=-5)):
+            continue
+        zone = f"{t:%z}"[:3] + ":" + f"{t:%z}"[3:]
+        cases[t.strftime("%Y-%m-%d")] = plain_iso(t.replace(hour=0, minute=0, second=0, tzinfo=timezone.utc))
+        cases[t.strftime("%Y-%m-%dT%H:%M:%S") + zone] = plain_iso(t.replace(tzinfo=timezone.utc))
+        cases[t.strftime("%Y-%m-%dT%H:%M") + zone] = plain_iso(t.replace(second=0, tzinfo=timezone.utc))
+        cases[t.strftime("%a, %d %b %Y %H:%M:%S %z")] = plain_iso(t)
+    cases |= {"soon": None, "": None, None: None, "99": None}
+    assert values(list(cases), dates.format_iso(dates.sitemap_lastmod(V))) == list(cases.values())
 
 
 def test_csv(values):
-    given = [None, "", "    ", "  ,, ,   ,   ", " A ,BBBB, , C  , ,D07  "]
-    assert values(given, text.parse_csv(V)) == [None, None, None, None, ["A", "BBBB", "C", "D07"]]
-    lists = [None, [], ["a"], ["a", "b", "c"], ["a", None]]
-    assert values(lists, text.create_csv(V), "array<string>") == [None, "", "a", "a,b,c", "a,null"]
+    """Items are trimmed, empty ones left out; nothing left is null. Writing is the inverse."""
+    rng = random.Random(4)
+    lists = [[rng.choice(["", " ", "k", "long item", "7", "\u00fc"]) for _ in range(rng.randrange(6))] for _ in range(40)]
+    texts = [",".join(" " * rng.randrange(3) + x + " " * rng.randrange(3) for x in items) for items in lists]
+    kept = [[x.strip() for x in items if x.strip()] or None for items in lists]
+    assert values([*texts, None], text.parse_csv(V)) == [*kept, None]
+    back = [items for items in kept if items]
+    assert values(values([",".join(i) for i in back], text.parse_csv(V)), text.create_csv(V), "array<string>") == [",".join(i) for i in back]
+    assert values([None, [], ["q", None]], text.create_csv(V), "array<string>") == [None, "", "q,null"]
 
 
 def test_trim_to_null(values):
@@ -81,25 +98,26 @@ def test_node_int(values):
 
 
 def test_file_extension(values):
-    none = [None, "", "   ", "file", "/file", ".x/file", "http://a.org/.x/file", "file.", "http://a.org/.x/file.", ".", "/.", ".a"]
-    assert values(none, urls.file_extension(V)) == [None] * len(none)
-    assert values(["file.a", "file.JPEG", "/file.MiXed", "http://a.org/.x/file.JPG", "http://a.org"], urls.file_extension(V)) == [
-        "a", "jpeg", "mixed", "jpg", "org",
-    ]
+    """What follows the last dot of the last part, in lower case; nothing if that is empty."""
+    folders, names = ["", "/", "d/", "http://h.test/", "/.hid/", "a.b/c.d/"], ["report", "Report", "x_1"]
+    for ending in ("pdf", "TAR", "Gz"):
+        given = [f"{f}{n}.{ending}" for f in folders for n in names] + [f"{f}{n}.old.{ending}" for f in folders for n in names]
+        assert values(given, urls.file_extension(V)) == [ending.lower()] * len(given)
+    given = [f"{f}{n}{dot}" for f in folders for n in names for dot in ("", ".")] + [" ", "", None]
+    assert values(given, urls.file_extension(V)) == [None] * len(given)
 
 
 def test_url_to_id(values):
-    assert values(["http://a.org/x?y=1&z=%20*$#@+<>:\\"], urls.url_to_id(V)) == ["http_a_org_x_y_1_z__20_________"]
+    found = values(["ftp://h.test/p/q?r=1", "plain", "w&x*y<z>"], urls.url_to_id(V))
+    assert found == ["ftp_h_test_p_q_r_1", "plain", "w_x_y_z_"]
 
 
 def test_url_allowed(values):
-    def allowed(base, url):
-        return values([url], urls.url_allowed(F.lit(base), V))[0]
-
-    assert allowed("http://one.org", "http://one.org")
-    assert allowed("http://onE.org", "http://one.ORG/deep/pagE.html")
-    assert not allowed("http://one.com", "http://one.org/deep/page.html")
-    assert not allowed("http://one.org/else", "http://one.org/deep/page.html")
+    """A URL is allowed below its base, whatever the case of letters."""
+    bases = ["https://shop.test", "https://shop.test/en/", "https://shop.test/en/a", "https://other.test/"]
+    given = ["https://shop.test", "HTTPS://Shop.test/EN/", "https://shop.test/en/all?x=1", "https://SHOP.test/de/", "https://other.test/en/"]
+    for base in bases:
+        assert values(given, urls.url_allowed(F.lit(base), V)) == [u.lower().startswith(base.lower()) for u in given]
 
 
 def test_urls(values):

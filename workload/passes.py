@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from syncspark.config import SyncConfig
+from syncspark.operators.state import WATERMARK
 from syncspark.plans.store import SyncStore
 from syncspark.plans.sync import sync_once
 from syncspark.session import prepare, shared_folder
@@ -142,7 +143,7 @@ def w2_latest_by_key(spark, d):
 def w3_absorb_rereads(spark, d):
     store = new_store(spark)
     twice = feed_stream(spark, d).unionByName(feed_stream(spark, d))
-    once = stream.absorb_rereads(twice, ["id"], "updated", "60 days").select("id", "updated", "kind")
+    once = stream.absorb_rereads(twice, ["id"], "updated").select("id", "updated", "kind")
     finished(
         once.writeStream.outputMode("append").option("checkpointLocation", store.path("checkpoint"))
         .trigger(availableNow=True).format("parquet").start(store.path("once"))
@@ -151,14 +152,13 @@ def w3_absorb_rereads(spark, d):
 
 
 @query("""
-SELECT 'feed' AS source, 'S' || (user_id % 5) AS space_key, 0 AS run_id, count(*) FILTER (event_type <> 'error') AS documents_updated,
-       count(*) FILTER (event_type = 'error') AS documents_deleted, epoch_us(max(ts)) // 1000 AS last_ms
+SELECT 'INCREMENTAL' AS update_type, 'S' || (user_id % 5) AS space_key, count(*) FILTER (event_type <> 'error') AS documents_updated,
+       CAST(0 AS BIGINT) AS documents_deleted, 'OK' AS result, epoch_us(max_by(ts, event_id)) // 1000 AS last_ms
 FROM events GROUP BY user_id % 5
 """)
 def w4_batch_progress(spark, d):
     store = new_store(spark)
     finished(stream.continuous_sync(feed_stream(spark, d), store, CONFIG, store.path("checkpoint"), clock=lambda: RUN_START))
-    progress = spark.read.parquet(store.path("progress"))
-    return progress.select(
-        "source", "space_key", "run_id", "documents_updated", "documents_deleted", millis(F.col("last_updated")).alias("last_ms")
-    )
+    marks = store.state("feed").filter(F.col("property") == WATERMARK).select("space_key", millis(F.col("value")).alias("last_ms"))
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("documents_updated", "documents_deleted")]
+    return store.activity().join(marks, "space_key").select("update_type", "space_key", *counts, "result", "last_ms")

@@ -277,7 +277,7 @@ def rss_bodies(spark, d) -> DataFrame:
     item = F.concat(F.lit("<item><link>"), F.when(F.col("page_id") % 10 == 9, "").otherwise(_xml(F.col("url"))), F.lit("</link></item>"))
     return bodies(
         spark, d, "application/rss+xml", item,
-        '<rss version="2.0"><channel><pubDate>Tue, 10 Jun 2003 04:00:00 GMT</pubDate>', "</channel></rss>", "-rss.xml",
+        '<rss version="2.0"><channel><pubDate>Mon, 16 May 2016 09:30:00 GMT</pubDate>', "</channel></rss>", "-rss.xml",
     )
 
 
@@ -303,7 +303,7 @@ XML_SQL = sitemap_sql(
 )
 TEXT_SQL = sitemap_sql(".txt", "page_id % 10 < 8", "CAST(NULL AS BIGINT)")
 ATOM_SQL = sitemap_sql("-atom.xml", "page_id % 10 < 9", "epoch_us(TIMESTAMP '2005-01-01') // 1000")
-RSS_SQL = sitemap_sql("-rss.xml", "page_id % 10 < 9", "epoch_us(TIMESTAMP '2003-06-10 04:00:00') // 1000")
+RSS_SQL = sitemap_sql("-rss.xml", "page_id % 10 < 9", "epoch_us(TIMESTAMP '2016-05-16 09:30:00') // 1000")
 
 
 @query(" UNION ALL ".join(f"({sql})" for sql in (XML_SQL, TEXT_SQL, ATOM_SQL, RSS_SQL)))
@@ -351,12 +351,12 @@ def s18_sitemap_rss(spark, d):
 SELECT 'http://Site.org/map' || (page_id // 100) || '-index.xml' AS sitemap_url,
        row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) - 1 AS pos,
        'http://site.org/' || page_id || '/' || regexp_replace(url, '^https?://', '') || '.gz' AS url,
-       CASE WHEN page_id % 2 = 0 THEN epoch_us(TIMESTAMP '2024-01-01' + to_days(CAST(page_id % 300 AS INTEGER))) // 1000 + 66197000 END AS modified_ms
+       CASE WHEN page_id % 2 = 0 THEN epoch_us(TIMESTAMP '2024-01-01' + to_days(CAST(page_id % 300 AS INTEGER))) // 1000 + 25689000 END AS modified_ms
 FROM pages WHERE page_id % 10 < 9
 """)
 def s19_sitemap_index(spark, d):
     loc = F.when(F.col("page_id") % 10 == 9, "bad").otherwise(F.concat(_xml(F.col("url")), F.lit(".gz")))
-    stamp = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<lastmod>"), F.col("day"), F.lit("T18:23:17+00:00</lastmod>"))).otherwise("")
+    stamp = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<lastmod>"), F.col("day"), F.lit("T07:08:09+00:00</lastmod>"))).otherwise("")
     entry = F.concat(F.lit("<sitemap><loc>"), loc, F.lit("</loc>"), stamp, F.lit("</sitemap>"))
     index = bodies(spark, d, "text/xml", entry, "<sitemapindex>", "</sitemapindex>", "-index.xml")
     found = sm.sitemap_index(index)
