@@ -110,8 +110,9 @@ def test_components(spark, edges):
         for a, b in edges:
             if a is not None and a != b:
                 parent[a] = parent[b] = min(parent[a], parent[b])
-    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
-    assert len(found) == len(parent) and {r["node"]: r["component"] for r in found} == parent
+    for few in (1000, 0):
+        found = components(spark.createDataFrame(edges, "a long, b long"), few).collect()
+        assert len(found) == len(parent) and {r["node"]: r["component"] for r in found} == parent
 
 
 def brute_removal(rows, width=13):
