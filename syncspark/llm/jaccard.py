@@ -37,6 +37,7 @@ SMALL = 48  # below it a group holds one shingle
 CHUNK_BYTES = 1 << 23
 SPARE = 4096  # names per key: how seldom different keys share one
 LEAF = 32
+FEW = 8  # documents of a cell that are paired without boxes
 BLOCK = 4096  # documents of a cell that one task takes at once
 BATCH = 1 << 22
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -252,16 +253,22 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
     # Each with the smallest of its cell.
     least = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").drop("z")
     stars = keys.join(least, "key").filter("doc_id > a").select("a", F.col("doc_id").alias("b"), "level").distinct()
-    for side in ("a", "b"):
-        stars = stars.join(at.select(F.col("doc_id").alias(side), "level", F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}")), [side, "level"])
-    first = written(_verified(_bounded(stars).distinct(), docs, words), "links")
+    first = written(_verified(_bounded(stars, at).distinct(), docs, words), "links")
     # Then all that are in a cell and not yet in one component.
     found = components(first)
     labelled = keys.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("m")).filter("x < y")
+    # The smallest of a cell has met all others of it.
+    labelled = written(labelled.join(least, "key").filter("doc_id > a").drop("a"), "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("m")).filter("x < y").drop("x", "y")
+    mixed = written(mixed, "mixed")
+    # A few in a cell are paired as they are, and each pair is looked at once.
+    some = labelled.join(mixed.filter(F.col("m") <= FEW).drop("m"), "key")
+    other = some.select("key", F.col("doc_id").alias("b"), F.col("label").alias("label_b"))
+    near = some.join(other, "key").filter("doc_id < b and label <> label_b").select(F.col("doc_id").alias("a"), "b", "level").distinct()
+    mixed = mixed.filter(F.col("m") > FEW)
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks.cast("long")).cast("int")
-    apart = labelled.join(mixed.drop("x", "y"), "key").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    apart = labelled.join(mixed, "key").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     apart = apart.select("key", "doc_id", "level", "label", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
     apart = apart.join(at, ["doc_id", "level"])
     apart = apart.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(chunks)))
@@ -283,13 +290,16 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
                 out.append(pd.DataFrame({"a": np.minimum(ids[x], ids[y]), "b": np.maximum(ids[x], ids[y])}))
         return pd.concat(out, ignore_index=True).drop_duplicates()
 
-    pairs = apart.groupBy("task").applyInPandas(join, "a long, b long").distinct()
+    pairs = apart.groupBy("task").applyInPandas(join, "a long, b long").union(_bounded(near, at)).distinct()
     second = written(_verified(pairs, docs, words), "links")
     return first.union(second)
 
 
-def _bounded(pairs: DataFrame) -> DataFrame:
-    """Of pairs (a, b) with sizes and counts, those whose smaller counts sum up to enough."""
+def _bounded(pairs: DataFrame, at: DataFrame) -> DataFrame:
+    """Of pairs (a, b, level), those whose smaller counts sum up to enough. ``at`` has the size
+    and counts of each document and level."""
+    for side in ("a", "b"):
+        pairs = pairs.join(at.select(F.col("doc_id").alias(side), "level", F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}")), [side, "level"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
