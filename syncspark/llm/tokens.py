@@ -1,14 +1,15 @@
 """Token ids of many texts at once.
 
-The tokenizer splits a text into pieces before it looks at the vocabulary, and no piece
-has white space after something else or letters next to punctuation: a text may be cut
-there. The stretches repeat, so each distinct one is encoded once per worker and batch results
+The tokenizer takes the added tokens of its file out of a text, splits the rest into
+pieces before it looks at the vocabulary, and no piece has white space after something
+else or letters next to punctuation: a text may be cut there. The stretches repeat, so each distinct one is encoded once per worker and batch results
 are put together from them in numpy.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import lru_cache
 
@@ -70,8 +71,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.letters = _byte_letters()
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # Tokens that look at what is around them: texts are encoded as they are.
+        self.uncut = any(t.lstrip or t.rstrip or t.single_word for t in added)
+        self.added = {t.content for t in added}
+        longest = sorted((t.encode() for t in self.added), key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         self._forget()
 
     def _forget(self) -> None:
@@ -82,7 +88,7 @@ class Encoder:
     def _learn(self, stretches: list[str], one: np.ndarray, two: np.ndarray) -> None:
         model, letters, found, rest = self.tokenizer.model, self.letters, [], []
         for i, s in enumerate(stretches):
-            if s.isalpha() or (s[0] == " " and s[1:].isalpha()):  # one piece
+            if not self.uncut and s not in self.added and (s.isalpha() or (s[0] == " " and s[1:].isalpha())):  # one piece
                 found.append(array("I", [t.id for t in model.tokenize(s.encode().decode("latin-1").translate(letters))]))
             else:
                 found.append(None)
@@ -105,6 +111,24 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
         return np.where((self.one[at] == one) & (self.two[at] == two), self.slot[at], -1)
 
+    def _bounds(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where stretches begin and end; an added token is one of its own."""
+        if self.uncut:
+            return ends
+        cuts, spans, at = _cuts(data), [], 0
+        while self.pattern and (m := self.pattern.search(data, at)):
+            stop = int(ends[np.searchsorted(ends, m.start(), side="right")])
+            if m.end() > stop:  # goes on in the next text
+                m = self.pattern.search(data, m.start(), stop)
+            if m:
+                spans.append(m.span())
+            at = m.end() if m else stop
+        if not spans:
+            return np.concatenate([cuts, ends])
+        first, last = np.array(spans, np.int64).T
+        k = np.searchsorted(first, cuts) - 1  # the token that begins before the cut
+        return np.concatenate([cuts[(k < 0) | (cuts >= last[k])], first, last, ends])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids start (one more entry than texts). No nulls."""
         texts = pa.concat_arrays([texts.cast(pa.large_string())])
@@ -116,7 +140,7 @@ class Encoder:
         data = np.frombuffer(raw, np.uint8)[first : first + int(ends[-1])] if raw is not None else np.zeros(0, np.uint8)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
-        bounds = np.sort(np.concatenate([_cuts(data), ends]), kind="stable")
+        bounds = np.sort(self._bounds(data, ends), kind="stable")
         bounds = bounds[np.concatenate([[True], bounds[1:] != bounds[:-1]])]
         stretches = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data))
         coded = stretches.dictionary_encode()
