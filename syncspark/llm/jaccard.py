@@ -36,6 +36,7 @@ STEP = 1.25  # similar sets differ in size by this factor at most
 SMALL = 48  # below it a group holds one shingle
 CHUNK_BYTES = 1 << 23
 SPARE = 4096  # names per key: how seldom different keys share one
+BITS = 24  # of a key's name, at least
 LEAF = 32
 FEW = 8  # documents of a cell that are paired without boxes
 BLOCK = 4096  # documents of a cell that one task takes at once
@@ -183,7 +184,7 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
     total = points.agg(F.sum("n").alias("n")).first()["n"] or 0
     size = total * 7
     chunks = max(partitions(spark), math.ceil(size / CHUNK_BYTES))
-    bits = min(62, max(24, math.ceil(math.log2(SPARE * total / 2 + 1))))
+    bits = min(62, max(BITS, math.ceil(math.log2(SPARE * total / 2 + 1))))
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
     rows = docs.filter("doc_id is not null").select("doc_id", "text", chunk).repartition(chunks, "chunk")
     kept = points.select(F.col("point").alias("doc_id")).distinct().select(chunk, F.lit(-1).cast("long").alias("bucket"), F.col("doc_id").alias("n"), F.lit(None).cast("binary").alias("bits"))
@@ -250,35 +251,35 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
     cells = written(cells, "cells")
     at = cells.select("doc_id", "level", "n", "counts")
     keys = cells.select("doc_id", "level", F.explode("keys").alias("key"))
+    # A cell is a key at a class: keys of two classes that got one name by chance stay apart.
     # Each with the smallest of its cell.
-    least = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").drop("z")
-    stars = keys.join(least, "key").filter("doc_id > a").select("a", F.col("doc_id").alias("b"), "level").distinct()
+    cell = ["key", "level"]
+    least = keys.groupBy(*cell).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").drop("z")
+    stars = keys.join(least, cell).filter("doc_id > a").select("a", F.col("doc_id").alias("b"), "level").distinct()
     first = written(_verified(_bounded(stars, at).distinct(), docs, words), "links")
     # Then all that are in a cell and not yet in one component.
     found = components(first)
     labelled = keys.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
     # The smallest of a cell has met all others of it.
-    labelled = written(labelled.join(least, "key").filter("doc_id > a").drop("a"), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("m")).filter("x < y").drop("x", "y")
+    labelled = written(labelled.join(least, cell).filter("doc_id > a").drop("a"), "labelled")
+    mixed = labelled.groupBy(*cell).agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("m")).filter("x < y").drop("x", "y")
     mixed = written(mixed, "mixed")
     # A few in a cell are paired as they are, and each pair is looked at once.
-    some = labelled.join(mixed.filter(F.col("m") <= FEW).drop("m"), "key")
-    other = some.select("key", F.col("doc_id").alias("b"), F.col("label").alias("label_b"))
-    near = some.join(other, "key").filter("doc_id < b and label <> label_b").select(F.col("doc_id").alias("a"), "b", "level").distinct()
+    some = labelled.join(mixed.filter(F.col("m") <= FEW).drop("m"), cell)
+    other = some.select(*cell, F.col("doc_id").alias("b"), F.col("label").alias("label_b"))
+    near = some.join(other, cell).filter("doc_id < b and label <> label_b").select(F.col("doc_id").alias("a"), "b", "level").distinct()
     mixed = mixed.filter(F.col("m") > FEW)
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks.cast("long")).cast("int")
-    apart = labelled.join(mixed, "key").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    apart = labelled.join(mixed, cell).withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     apart = apart.select("key", "doc_id", "level", "label", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
     apart = apart.join(at, ["doc_id", "level"])
-    apart = apart.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(chunks)))
+    apart = apart.withColumn("task", F.pmod(F.xxhash64("key", "level", "i", "j"), F.lit(chunks)))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})]
-        for (_, i, j), cell in group.groupby(["key", "i", "j"], sort=False):
+        for (_, _, i, j), cell in group.groupby(["key", "level", "i", "j"], sort=False):
             cell = cell.drop_duplicates("doc_id")
-            if cell["counts"].map(len).nunique() > 1:  # two classes of keys met by chance
-                continue
             labels = cell["label"].to_numpy()
             if len(cell) < 2 or (labels == labels[0]).all():
                 continue

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from syncspark.llm import jaccard
 from syncspark.llm.components import components
 from syncspark.llm.exact import drop_exact_copies, exact_dedup
 from syncspark.llm.jaccard import similar_documents
@@ -93,6 +94,20 @@ def test_similar_documents_at_the_limit(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
 
 
+def test_similar_documents_where_keys_of_classes_share_names(spark, unique, monkeypatch):
+    """So few names that nearly every cell has keys of several classes, all cells with boxes."""
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    monkeypatch.setattr(jaccard, "SPARE", 0)
+    monkeypatch.setattr(jaccard, "BITS", 3)
+    texts = {r[0]: r[1] for r in unique}
+    for k in range(300, 340):  # pairs with all but one shingle in common, short and long
+        texts[2 * k] = " ".join(f"p{k}x{i}" for i in range(9 if k % 2 else 80 + k))
+        texts[2 * k + 1] = texts[2 * k].rsplit(" ", 1)[0]
+    want = brute_components(texts)
+    found = similar_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+
+
 def test_similar_documents_with_repeated_and_missing_ids(docs, rows):
     found = similar_documents(docs).collect()
     assert len(found) == len(rows)
