@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.llm.common import written
+from syncspark.llm.common import numbered, written
 from syncspark.llm.exact import drop_exact_copies
 from syncspark.llm.jaccard import similar_documents
 from syncspark.llm.langid import document_evidence, fit, identify
@@ -17,17 +17,22 @@ from syncspark.llm.packing import pack_documents
 from syncspark.session import prepare
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Documents but those whose ids are in ``dropped``. These are written first, so that
-    Spark knows their size: few go to all tasks and the texts stay where they are."""
-    dropped = written(dropped.select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Numbered rows but those whose numbers are in ``dropped``. These are written first, so
+    that Spark knows their size: few go to all tasks and the texts stay where they are."""
+    return rows.join(written(dropped.select("_row"), "dropped"), "_row", "left_anti").drop("_row")
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """Numbered rows as documents whose id is the number."""
+    return rows.drop("doc_id").withColumnRenamed("_row", "doc_id")
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose text is in none of the languages of the labels, or undecided."""
-    found = identify(document_evidence(docs), fit(docs), ["doc_id"])
-    return _without(docs, found.filter("not accepted"))
+    rows = numbered(docs)
+    found = identify(document_evidence(_by_row(rows)), fit(docs), ["doc_id"])
+    return _without(rows, found.filter("not accepted").withColumnRenamed("doc_id", "_row"))
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +41,15 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of documents that similarity links stays."""
-    return _without(docs, similar_documents(docs).filter("component_id <> doc_id"))
+    """The smallest id of documents that similarity links stays, a missing one last. Rows
+    that repeat an id, or have none, are documents each."""
+    rows = numbered(docs)
+    linked = similar_documents(_by_row(rows)).filter("component_id <> doc_id").select(F.col("component_id").alias("c"), F.col("doc_id").alias("_row"))
+    linked = written(linked, "linked")
+    members = linked.union(linked.select("c", F.col("c").alias("_row")).distinct()).join(rows.select("_row", "doc_id"), "_row")
+    members = members.select("c", "_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("at"))
+    kept = members.groupBy("c").agg(F.min("at").alias("kept"))
+    return _without(rows, members.join(kept, "c").filter(F.col("_row") != F.col("kept._row")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

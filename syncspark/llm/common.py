@@ -36,6 +36,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
 
+def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """Rows with a number of their own. It is the id if all rows have one that no other has;
+    if not, rows are written with numbers, so that all that reads them finds the same ones."""
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id is null or n > 1")
+    if shared.isEmpty():
+        return docs.withColumn(name, F.col("doc_id").cast("long"))
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table in the folder all executors share and read it back.
 

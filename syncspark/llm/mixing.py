@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, body, written
+from .common import WORD, body, numbered, written
 
 BLOCK = 64
 _PER = ("source", "source_size", "target")
@@ -70,21 +70,22 @@ def _fold(block: Column) -> Column:
     return F.aggregate(F.slice(block, 2, 1 << 30), start, move)
 
 
-def mix_sources(docs: DataFrame, share: float = 1.5, repeats: float = 2.0, weights: tuple[float, ...] = (5.0, 2.0, 1.0), seed: int = 7) -> DataFrame:
+def mix_sources(docs: DataFrame, share: float = 1.5, repeats: float = 2.0, weights: tuple[float, ...] = (5.0, 2.0, 1.0), seed: int = 7, row: str = "doc_id") -> DataFrame:
     """How often each document is taken so that every source nears its target.
 
     Returns a row per row of ``docs``: doc_id, source, size (words), source_size, target,
     copies, taken (copies times size). A source's words differ from its target by less than
     its largest document. A null text has no words and is taken as often as its source's
     whole part says; a null source is a source. Reruns agree: every draw is a hash of ids.
-    Repeated rows count each on its own. No rows give no rows.
+    Repeated rows count each on its own. No rows give no rows. ``row`` names a column of
+    bigint that stands for a row in the result, as doc_id; draws are by the id all the same.
     """
-    sizes = written(docs.select("doc_id", "source", F.regexp_count(body(), F.lit(WORD)).cast("long").alias("size")), "sizes")
+    sizes = written(docs.select(F.col(row).alias("id"), "doc_id", "source", F.regexp_count(body(), F.lit(WORD)).cast("long").alias("size")), "sizes")
     targets = source_targets(sizes, share, repeats, weights)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = targets.withColumn("whole", F.floor(rate)).withColumn("p", rate - F.floor(rate))
     rows = sizes.withColumnRenamed("source", "of").join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    rows = rows.withColumn("seed", F.xxhash64(F.lit(seed), "doc_id", "source", "size"))
+    rows = rows.withColumn("seed", F.xxhash64(F.lit(seed), "doc_id", "source", "size")).drop("doc_id").withColumnRenamed("id", "doc_id")
     firm = (F.col("p") <= 0) | (F.col("size") == 0)
     out = rows.filter(firm).select("doc_id", *_PER, "size", F.col("whole").alias("copies"))
 
@@ -109,8 +110,10 @@ def mix_sources(docs: DataFrame, share: float = 1.5, repeats: float = 2.0, weigh
 def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs``, all its columns, as often as it is taken.
 
-    Rows that repeat an id are taken alike, as often as the one of them taken most.
+    Rows without an id, or that repeat one, are taken each on its own. Which of those that are
+    also equal in source and words are taken more often follows the order they are stored in.
     """
-    plan = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").cast("int").alias("_copies")).filter("_copies > 0")
-    rows = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")))
+    rows = numbered(docs)
+    plan = mix_sources(rows, row="_row", **options).select(F.col("doc_id").alias("_row"), F.col("copies").cast("int").alias("_copies")).filter("_copies > 0")
+    rows = rows.join(plan, "_row")
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_i")).drop("_i")
