@@ -7,7 +7,9 @@ all trees at once, a bit at a time, until the entries that share the prefix are
 and these are compared with it in full.
 
 A tree's sorted array is kept in slices of a bounded number of entries. Each slice counts
-and compares on its own; a query goes to the slices that its prefix covers.
+and compares on its own; a query goes to the slices that its prefix covers. Entries with
+one string can't be cut between strings: they are dealt over parts by a hash of vec_id,
+and a query goes to all parts of a slice.
 """
 
 from __future__ import annotations
@@ -105,6 +107,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREE
         for row in narrow.groupBy("tree").agg(F.percentile_approx("code", at, 10 * per_tree + 1000).alias("at")).collect():  # a number per slice
             cuts[row["tree"]] = np.unique(np.array(row["at"], np.int64))
     edges = spark.sparkContext.broadcast(cuts)
+    parts = spark.sparkContext.broadcast({})
 
     def slice_of(tree: pd.Series, code: pd.Series) -> np.ndarray:
         out = np.empty(len(tree), np.int64)
@@ -121,7 +124,30 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREE
         kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
         return df.mapInPandas(sliced, f"{kind}, slice long")
 
-    index = dealt(rows.mapInArrow(entries("vec_id", True), f"vec_id {kinds}, vec array<double>"))
+    if per_tree > 1:
+        # Large slices, of which there are fewer than slices were asked for.
+        large = dealt(narrow.select("tree", "code")).groupBy("slice").count().filter(F.col("count") >= 1.5 * SLICE).collect()
+        parts = spark.sparkContext.broadcast({r["slice"]: round(r["count"] / SLICE) for r in large})
+
+    def parts_of(f: pd.DataFrame) -> np.ndarray:
+        return f["slice"].map(parts.value).fillna(1).to_numpy(np.int64)
+
+    def to_one(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            code = pd.util.hash_array(f["vec_id"].to_numpy(np.int64))
+            yield f.assign(part=(code % parts_of(f).astype(np.uint64)).astype(np.int64))
+
+    def to_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            times = parts_of(f)
+            first_ = np.repeat(np.cumsum(times) - times, times)
+            yield f.take(np.repeat(np.arange(len(f)), times)).assign(part=np.arange(len(first_)) - first_)
+
+    def parted(df: DataFrame, how) -> DataFrame:
+        kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        return df.mapInPandas(how, f"{kind}, part long")
+
+    index = parted(dealt(rows.mapInArrow(entries("vec_id", True), f"vec_id {kinds}, vec array<double>")), to_one)
     asking = first.mapInArrow(entries("query_id", True), f"query_id {kinds}, vec array<double>")
 
     def shared(key: tuple, own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
@@ -135,7 +161,8 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREE
             out.append(pd.DataFrame({"query_id": ask["query_id"], "bits": bits, "n": count}))
         return pd.concat(out, ignore_index=True)
 
-    counts = index.select("slice", "code").groupBy("slice").cogroup(dealt(asking.drop("vec")).groupBy("slice")).applyInPandas(shared, "query_id long, bits int, n long")
+    own_part = parted(dealt(asking.drop("vec")), to_all)
+    counts = index.select("slice", "part", "code").groupBy("slice", "part").cogroup(own_part.groupBy("slice", "part")).applyInPandas(shared, "query_id long, bits int, n long")
     stop = counts.groupBy("query_id", "bits").agg(F.sum("n").alias("n")).filter(F.col("n") >= enough).groupBy("query_id").agg(F.max("bits").alias("bits"))
     asking = asking.join(stop, "query_id", "left").fillna(0, ["bits"])
 
@@ -153,7 +180,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREE
             k_ = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
             yield pd.DataFrame({"query_id": f["query_id"].to_numpy()[at], "vec": f["vec"].to_numpy()[at], "lo": lo[at], "hi": hi[at], "slice": (tree[at].astype(np.int64) << 32) + a[at] + k_})
 
-    asking = asking.mapInPandas(covered, "query_id long, vec array<double>, lo long, hi long, slice long")
+    asking = parted(asking.mapInPandas(covered, "query_id long, vec array<double>, lo long, hi long, slice long"), to_all)
 
     def compare(key: tuple, own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
@@ -170,7 +197,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, trees: int = TREE
             out.append(pd.DataFrame({"query_id": q, "vec_id": ids[a:b][best], "score": distance[best]}))
         return pd.concat(out, ignore_index=True)
 
-    found = index.drop("tree").groupBy("slice").cogroup(asking.groupBy("slice")).applyInPandas(compare, "query_id long, vec_id long, score double")
+    found = index.drop("tree").groupBy("slice", "part").cogroup(asking.groupBy("slice", "part")).applyInPandas(compare, "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     best = best.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= k + 1).drop("i")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from syncspark.llm import neighbours
 from syncspark.llm.langid import address_code, document_evidence, fit, host_of, identify, page_evidence
 from syncspark.llm.neighbours import nearest
 from syncspark.llm.toxicity import score_toxicity
@@ -114,3 +115,35 @@ def test_neighbours_recall_with_copies(spark):
         assert mine == sorted(mine, key=lambda x: (x[1], x[0])) and all(abs(distance[i] - d) < 1e-12 for i, d in mine)
         hits += len({i for i, _ in mine} & set(best.tolist()))
     assert hits >= 0.9 * 300 and [found[1500][k][0] for k in range(1, 11)] == [0, *range(1000, 1009)]
+
+
+def test_neighbours_of_near_equal_vectors_are_dealt_over_parts(spark, monkeypatch):
+    """A third of the vectors have the same strings; no group gets many more than a slice."""
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+
+    whole = PandasCogroupedOps.applyInPandas
+
+    def bounded(self, function, schema):
+        def run(key, own, ask):
+            assert len(own) <= 250, f"{len(own)} entries in one group"
+            return function(key, own, ask)
+
+        return whole(self, run, schema)
+
+    monkeypatch.setattr(neighbours, "SLICE", 100)
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", bounded)
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(3000, 16))
+    vectors[1000:2000] = vectors[0] + rng.normal(size=(1000, 16)) * 1e-9
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").cache()
+    found = {}
+    for r in nearest(df, df.filter("vec_id % 100 = 0")).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, 3000, 100):
+        distance = ((vectors - vectors[q]) ** 2).sum(1)
+        distance[q] = np.inf
+        best = set(np.lexsort((np.arange(3000), distance))[:10].tolist())
+        assert len(found[q]) == 10 and (found[q] == best or not 1000 <= q < 2000)
+        hits += len(found[q] & best)
+    assert hits >= 0.9 * 300
