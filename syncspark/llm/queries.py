@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncspark.session import prepare
 
+from . import oracle
+from .auction import repair_conversations
 from .common import new_path
+from .decontaminate import contamination
 from .exact import exact_dedup
 from .jaccard import similar_documents
 from .langid import document_evidence, fit, identify, page_evidence
 from .mixing import mix_sources
 from .neighbours import nearest
 from .packing import pack_documents
+from .prefixes import conversation_trie
 from .repair import read_tokens, write_tokens
 from .sharding import shard_documents
 from .substrings import remove_repeats
@@ -80,12 +84,12 @@ def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table, table.filter("vec_id % 100 = 0"))
 
 
-@_query()
+@_query(oracle.REPEATS)
 def op7_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(_table(spark, folder, "documents"))
 
 
-@_query()
+@_query(oracle.SIMILAR)
 def op8_similar_documents(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(_table(spark, folder, "documents"))
 
@@ -100,3 +104,18 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "tokens")
     write_tokens(_table(spark, folder, "documents"), path)
     return read_tokens(spark, path)
+
+
+@_query(oracle.REPAIR)
+def op11_repair_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_conversations(_table(spark, folder, "conversations"))
+
+
+@_query(oracle.TRIE)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(_table(spark, folder, "conversations"))
+
+
+@_query(oracle.CONTAMINATION)
+def op13_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
