@@ -12,6 +12,10 @@ the group holds. Two similar sets of n shingles differ in n/4 at most, each in o
 of the first n/4 + 1 groups that hold something, one holds the same in both. Every similar
 pair is therefore in a cell together, and boxes are built inside cells.
 
+A pair of points that boxes let through is bound once more by a finer point of several
+coordinates a shingle, each 0 or 1: what both have, and the shingles that share a coordinate
+with another of their set.
+
 Most pairs of a cell never need to be formed: each document is first verified with the
 smallest of its cell, and only documents that are not yet in one component are joined.
 """
@@ -41,6 +45,9 @@ LEAF = 32
 FEW = 8  # documents of a cell that are paired without boxes
 BLOCK = 4096  # documents of a cell that one task takes at once
 BATCH = 1 << 22
+FINE = 6  # coordinates of a fine point for each shingle
+FINE_MOST = 1 << 14
+WORDS_AT_ONCE = 1 << 21  # of fine points that are compared
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -108,9 +115,19 @@ def _counts(hashes: np.ndarray, level: int) -> np.ndarray:
     return np.minimum(np.bincount(((hashes & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64), minlength=size), 255).astype(np.uint8)
 
 
-def box_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (left, right) of different labels that the bound lets through, from an R-tree of
-    packed leaves: each left leaf with each right leaf whose boxes may overlap enough."""
+def _fine(hashes: np.ndarray, level: int) -> bytes:
+    """The fine point of a set at a size class, a bit a coordinate."""
+    most = SMALL * STEP if level < 0 else STEP ** (level + 1)
+    size = min(FINE_MOST, 64 * math.ceil(FINE * most / 64))
+    held = np.zeros(size, bool)
+    held[((hashes & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)] = True
+    return np.packbits(held).tobytes()
+
+
+def box_pairs(points: np.ndarray, fine: np.ndarray, sizes: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (left, right) of different labels that the bounds let through, from an R-tree of
+    packed leaves: each left leaf with the right leaves whose boxes may overlap enough, then
+    point by point with the fine points (rows of 64-bit words)."""
 
     def leaves(at: np.ndarray) -> list[np.ndarray]:
         order = at[np.lexsort((*points[at].T[:4], sizes[at]))]
@@ -123,12 +140,16 @@ def box_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, left: n
         return
     a, b = leaves(left), leaves(right)
     (top_a, low_a, high_a), (top_b, low_b, high_b) = boxes(a), boxes(b)
+    spare = sizes - np.bitwise_count(fine).sum(axis=1, dtype=np.int64)
+    step = max(1, WORDS_AT_ONCE // (LEAF * max(1, fine.shape[1])))
     for i, leaf in enumerate(a):
         bound = np.minimum(top_a[i], top_b).sum(axis=1)
         near = (9 * bound >= 4 * (low_a[i] + low_b)) & (5 * high_a[i] >= 4 * low_b) & (5 * high_b >= 4 * low_a[i])
-        for j in np.flatnonzero(near):
-            other = b[j]
-            bound = np.minimum(points[leaf][:, None, :], points[other][None, :, :]).sum(axis=2, dtype=np.int32)
+        others = np.concatenate([b[j] for j in np.flatnonzero(near)] or [np.zeros(0, np.int64)])
+        for k in range(0, len(others), step):
+            other = others[k : k + step]
+            bound = np.bitwise_count(fine[leaf][:, None, :] & fine[other][None, :, :]).sum(axis=2, dtype=np.int64)
+            bound += np.minimum(spare[leaf][:, None], spare[other][None, :])
             m, n = sizes[leaf][:, None], sizes[other][None, :]
             fit = (9 * bound >= 4 * (m + n)) & (5 * m >= 4 * n) & (5 * n >= 4 * m) & (labels[leaf][:, None] != labels[other][None, :])
             x, y = np.nonzero(fit)
@@ -240,16 +261,16 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
                 for piece in np.split(at, np.flatnonzero(np.diff(of[at])) + 1) if len(at) else []:
                     i = int(of[piece[0]])
                     mine = hashes[starts[i] : starts[i + 1]]
-                    out.append((int(ids[i]), len(mine), int(level[piece[0]]), keys[piece].astype(np.int64), _counts(mine, int(level[piece[0]])).tobytes()))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=["doc_id", "n", "level", "keys", "counts"])
+                    out.append((int(ids[i]), len(mine), int(level[piece[0]]), keys[piece].astype(np.int64), _counts(mine, int(level[piece[0]])).tobytes(), _fine(mine, int(level[piece[0]]))))
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)], names=["doc_id", "n", "level", "keys", "counts", "fine"])
 
     names = rows.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(send_keys, "chunk long, bucket long, names binary")
     answers = names.groupBy("bucket").applyInArrow(seen_elsewhere, "chunk long, bucket long, n long, bits binary")
     both = kept.union(answers)
-    cells = rows.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(in_cells, "doc_id long, n long, level int, keys array<long>, counts binary")
+    cells = rows.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(in_cells, "doc_id long, n long, level int, keys array<long>, counts binary, fine binary")
     cells = written(cells, "cells")
-    at = cells.select("doc_id", "level", "n", "counts")
+    at = cells.select("doc_id", "level", "n", "counts", "fine")
     keys = cells.select("doc_id", "level", F.explode("keys").alias("key"))
     # A cell is a key at a class: keys of two classes that got one name by chance stay apart.
     # Each with the smallest of its cell.
@@ -287,7 +308,8 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
             points_ = np.where(points_ == 255, np.uint16(65535), points_) if (points_ == 255).any() else points_
             ids, side = cell["doc_id"].to_numpy(), cell["own"].to_numpy()
             left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-            for x, y in box_pairs(points_, cell["n"].to_numpy(), labels, left, right):
+            fine = np.stack([np.frombuffer(x, np.uint64) for x in cell["fine"]])
+            for x, y in box_pairs(points_, fine, cell["n"].to_numpy(), labels, left, right):
                 out.append(pd.DataFrame({"a": np.minimum(ids[x], ids[y]), "b": np.maximum(ids[x], ids[y])}))
         return pd.concat(out, ignore_index=True).drop_duplicates()
 
@@ -297,18 +319,18 @@ def _links(docs: DataFrame, points: DataFrame, words: int) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, at: DataFrame) -> DataFrame:
-    """Of pairs (a, b, level), those whose smaller counts sum up to enough. ``at`` has the size
-    and counts of each document and level."""
+    """Of pairs (a, b, level), those whose fine points have enough in common. ``at`` has the
+    size and fine point of each document and level."""
     for side in ("a", "b"):
-        pairs = pairs.join(at.select(F.col("doc_id").alias(side), "level", F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}")), [side, "level"])
+        pairs = pairs.join(at.select(F.col("doc_id").alias(side), "level", F.col("n").alias(f"n_{side}"), F.col("fine").alias(f"fine_{side}")), [side, "level"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for m, n, x, y in zip(batch["n_a"].to_pylist(), batch["n_b"].to_pylist(), batch["counts_a"].to_pylist(), batch["counts_b"].to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                full = p.max(initial=0) == 255 or q.max(initial=0) == 255  # counts end there
-                keep.append(5 * m >= 4 * n and 5 * n >= 4 * m and (full or 9 * int(np.minimum(p, q).sum(dtype=np.int64)) >= 4 * (m + n)))
+            for m, n, x, y in zip(batch["n_a"].to_pylist(), batch["n_b"].to_pylist(), batch["fine_a"].to_pylist(), batch["fine_b"].to_pylist(), strict=True):
+                p, q = int.from_bytes(x), int.from_bytes(y)
+                bound = (p & q).bit_count() + min(m - p.bit_count(), n - q.bit_count())
+                keep.append(5 * m >= 4 * n and 5 * n >= 4 * m and 9 * bound >= 4 * (m + n))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(check, "a long, b long")
