@@ -45,6 +45,13 @@ def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
     return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """Numbered rows (_row, doc_id, text, source) that carry all columns of ``docs`` in ``row``,
+    where no name can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return numbered(docs.select("doc_id", "text", "source", row))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table in the folder all executors share and read it back.
 

@@ -15,13 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import body, ready, written
 from .toxicity import BATCH, BUCKETS, subwords
 from .words import split_words, text_bytes, word_codes
 
-SAMPLE = 4000  # labelled documents that the n-gram models are fitted on, at most
+SAMPLE = 1000  # labelled rows of a language
 OTHER = "other"
 OTHER_PRIOR = 0.01
 UNSEEN = 0.05  # count of an n-gram that a language's sample doesn't have
@@ -71,10 +71,15 @@ def train(texts: list[str], langs: list[str]) -> Likelihoods:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Likelihoods:
-    """Models from rows (doc_id, text, lang), of which at most ``sample``, by a hash of the id."""
+    """Models from rows (doc_id, text, lang): of each language at most ``sample``, by a hash of id
+    and text, so that a language is learnt however rare it is among all rows."""
     usable = docs.filter("lang is not null and lang <> ''").select("doc_id", "lang", body().alias("text"))
-    chosen = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = usable.join(F.broadcast(chosen), "doc_id").toPandas().sort_values(["doc_id", "lang", "text"])
+    order = [F.xxhash64("doc_id", "text"), F.col("doc_id")]
+    marked = usable.select("doc_id", "lang", order[0].alias("mark"))
+    chosen = marked.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))).filter(F.col("n") <= sample)
+    chosen = chosen.select("doc_id", "lang", "mark").distinct()
+    both = usable.withColumn("mark", order[0]).join(F.broadcast(chosen), ["doc_id", "lang", "mark"], "left_semi")
+    rows = both.select("doc_id", "lang", "text").toPandas().sort_values(["doc_id", "lang", "text"])
     return train(rows["text"].tolist(), rows["lang"].tolist())
 
 

@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, body, numbered, written
+from .common import WORD, body, carried, written
 
 BLOCK = 64
 _PER = ("source", "source_size", "target")
@@ -78,14 +78,16 @@ def mix_sources(docs: DataFrame, share: float = 1.5, repeats: float = 2.0, weigh
     its largest document. A null text has no words and is taken as often as its source's
     whole part says; a null source is a source. Reruns agree: every draw is a hash of ids.
     Repeated rows count each on its own. No rows give no rows. ``row`` names a column of
-    bigint that stands for a row in the result, as doc_id; draws are by the id all the same.
+    bigint that stands for a row in the result, as doc_id; draws are by id and text all the same.
     """
-    sizes = written(docs.select(F.col(row).alias("id"), "doc_id", "source", F.regexp_count(body(), F.lit(WORD)).cast("long").alias("size")), "sizes")
+    # Blocks are dealt by the text as well, so that rows without an id don't meet in one.
+    mark = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), body())
+    sizes = written(docs.select(F.col(row).alias("id"), "source", F.regexp_count(body(), F.lit(WORD)).cast("long").alias("size"), mark.alias("seed")), "sizes")
     targets = source_targets(sizes, share, repeats, weights)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = targets.withColumn("whole", F.floor(rate)).withColumn("p", rate - F.floor(rate))
     rows = sizes.withColumnRenamed("source", "of").join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    rows = rows.withColumn("seed", F.xxhash64(F.lit(seed), "doc_id", "source", "size")).drop("doc_id").withColumnRenamed("id", "doc_id")
+    rows = rows.withColumnRenamed("id", "doc_id")
     firm = (F.col("p") <= 0) | (F.col("size") == 0)
     out = rows.filter(firm).select("doc_id", *_PER, "size", F.col("whole").alias("copies"))
 
@@ -113,7 +115,6 @@ def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     Rows without an id, or that repeat one, are taken each on its own. Which of those that are
     also equal in source and words are taken more often follows the order they are stored in.
     """
-    rows = numbered(docs)
-    plan = mix_sources(rows, row="_row", **options).select(F.col("doc_id").alias("_row"), F.col("copies").cast("int").alias("_copies")).filter("_copies > 0")
-    rows = rows.join(plan, "_row")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_i")).drop("_i")
+    rows = carried(docs)
+    plan = mix_sources(rows, row="_row", **options).select(F.col("doc_id").alias("_row"), F.col("copies").cast("int").alias("copies")).filter("copies > 0")
+    return rows.select("_row", "row").join(plan, "_row").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, source string, lang string, kept boolean, size long, shard string"
+SCHEMA = "doc_id long, text string, source string, lang string, kept boolean, size long, shard string, _row long, _copies int"
 
 
 def words(rng, n, stock=400):
@@ -26,7 +26,7 @@ def awkward_documents():
         rows.append((i, base.replace(" ", rng.choice([" ", "\n", "  ", "\t"]))))
         rows.append((i + 20, words(rng, 30) + " " + shared + "\n" + words(rng, 30)))
     rows += [(200, ""), (201, None), (202, " \n\t "), (203, "é ü ñ 日本 語  x <|endoftext|> don't"), (204, words(rng, 9000)), (205, "same same " * 30), (206, "same " * 61), (None, base), (None, None), (0, rows[0][1]), (61, rows[61][1])]
-    return [(i, t, None if k % 11 == 0 else f"s{k % 4}", None if k % 7 == 0 else "xx", True, 5, "a") for k, (i, t) in enumerate(rows)]
+    return [(i, t, None if k % 11 == 0 else f"s{k % 4}", None if k % 7 == 0 else "xx", True, 5, "a", 1, 2) for k, (i, t) in enumerate(rows)]
 
 
 @pytest.fixture(scope="session")
