@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.llm.common import numbered, written
+from syncspark.llm.common import carried, written
 from syncspark.llm.exact import drop_exact_copies
 from syncspark.llm.jaccard import similar_documents
 from syncspark.llm.langid import document_evidence, fit, identify
@@ -20,30 +20,37 @@ from syncspark.session import prepare
 def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     """Numbered rows but those whose numbers are in ``dropped``. These are written first, so
     that Spark knows their size: few go to all tasks and the texts stay where they are."""
-    return rows.join(written(dropped.select("_row"), "dropped"), "_row", "left_anti").drop("_row")
+    dropped = written(dropped.select("_row"), "dropped")
+    return rows.select("_row", "row").join(dropped, "_row", "left_anti").select("row.*")
 
 
 def _by_row(rows: DataFrame) -> DataFrame:
     """Numbered rows as documents whose id is the number."""
-    return rows.drop("doc_id").withColumnRenamed("_row", "doc_id")
+    return rows.select(F.col("_row").alias("doc_id"), "text", "source")
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose text is in none of the languages of the labels, or undecided."""
-    rows = numbered(docs)
+    """Documents go whose text is in none of the languages of the labels, or undecided.
+
+    A null or empty text, however many rows have it, is undecided and goes. Texts are read
+    whole. Rows that repeat an id, or have none, are judged each. No rows give no rows.
+    """
+    rows = carried(docs)
     found = identify(document_evidence(_by_row(rows)), fit(docs), ["doc_id"])
     return _without(rows, found.filter("not accepted").withColumnRenamed("doc_id", "_row"))
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The longest original of equal texts stays."""
+    """The longest original of equal texts stays, then the smallest id, a missing one last. Null
+    and empty texts are equal; of repeated rows one stays. No rows give no rows."""
     return drop_exact_copies(docs)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of documents that similarity links stays, a missing one last. Rows
-    that repeat an id, or have none, are documents each."""
-    rows = numbered(docs)
+    that repeat an id, or have none, are documents each. Null and empty texts are near nothing
+    and stay. No rows give no rows."""
+    rows = carried(docs)
     linked = similar_documents(_by_row(rows)).filter("component_id <> doc_id").select(F.col("component_id").alias("c"), F.col("doc_id").alias("_row"))
     linked = written(linked, "linked")
     members = linked.union(linked.select("c", F.col("c").alias("_row")).distinct()).join(rows.select("_row", "doc_id"), "_row")
@@ -53,12 +60,15 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the weights of their sources ask for, none at all included."""
+    """Documents as often as the weights of their sources ask for, none at all included. A null
+    source is a source; a null or empty text has no words and is taken as its source's whole
+    part says. No rows give no rows."""
     return repeat_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences."""
+    """Token pieces and their places in sequences. A null or empty text is its end token alone;
+    a very long one is cut into pieces. No rows give no rows."""
     return pack_documents(docs)
 
 
