@@ -5,7 +5,7 @@ from __future__ import annotations
 import enum
 import re
 from dataclasses import dataclass, field
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from syncspark.errors import ConfigError
 
@@ -110,6 +110,8 @@ class SyncConfig:
     spaces_excluded: str | None = None
     update_period: timedelta = timedelta(minutes=5)
     full_update_period: timedelta = timedelta(hours=12)
+    slice_span: timedelta | None = None  # update times are asked for in stretches of this length
+    first_update: datetime | None = None  # where slices begin when nothing is stored yet
 
     def __post_init__(self):
         if not isinstance(self.comment_mode, CommentMode):
@@ -167,7 +169,7 @@ class SyncConfig:
     @classmethod
     def from_dict(cls, settings: dict) -> "SyncConfig":
         settings = dict(settings)
-        for name in ("update_period", "full_update_period"):
+        for name in ("update_period", "full_update_period", "slice_span"):
             if name in settings and not isinstance(settings[name], timedelta):
                 settings[name] = parse_duration(settings[name], cls.__dataclass_fields__[name].default)
         return cls(**settings)

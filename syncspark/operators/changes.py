@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from syncspark.config import SyncConfig
 from syncspark.functions.dates import parse_datetime
@@ -211,22 +211,19 @@ def run_outcome(runs: DataFrame, errors: DataFrame) -> DataFrame:
 
     ``runs``: source, space_key, start_date, end_date, failure (message of a run that
     broke off, else null). ``errors``: source, space_key, message of skipped documents.
-    Equal messages are counted before they meet in one row, so a space with many
-    failing documents brings one line per kind of failure; the failing documents
-    themselves stay in ``errors``.
+    Equal messages are counted before they meet in one row, and a run shows its most
+    frequent ones; the failing documents themselves stay in ``errors``.
     """
     keys = ["source", "space_key"]
     kinds = (
         errors.select(*keys, F.trim("message").alias("message")).filter("message <> ''")
         .groupBy(*keys, "message").agg(F.count("*").alias("_times"))
     )
-    texts = kinds.groupBy(*keys).agg(
-        F.array_sort(F.collect_list("message")).alias("_messages"),
-        F.sum("_times").alias("documents_with_error"),
-    )
-    joined = runs.join(texts, keys, "left")
+    counts = kinds.groupBy(*keys).agg(F.sum("_times").alias("documents_with_error"))
+    texts = frequent_messages(kinds.withColumnRenamed("_times", "n"), keys)
+    joined = runs.join(counts, keys, "left").join(texts, keys, "left")
     failure = F.nullif(F.trim("failure"), F.lit(""))
-    lines = F.array_compact(F.concat(F.coalesce("_messages", F.array().cast("array<string>")), F.array(failure)))
+    lines = F.array_compact(F.array("messages", failure))
     return joined.select(
         *keys,
         F.when(F.col("failure").isNull(), "OK").otherwise("ERROR").alias("result"),
@@ -236,6 +233,37 @@ def run_outcome(runs: DataFrame, errors: DataFrame) -> DataFrame:
     )
 
 
+MESSAGES = 20
+
+
+def frequent_messages(kinds: DataFrame, keys: list[str], most: int = MESSAGES) -> DataFrame:
+    """Per key the ``most`` frequent messages in the order of their text, and how many more there are.
+
+    ``kinds``: the keys, message and n. Every task keeps its own most frequent ones, so any
+    number of different messages meets as a few rows.
+    """
+    each = kinds.filter("message is not null").groupBy(*keys, "message").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy(*keys).orderBy(F.desc("n"), "message")
+    top = each.withColumn("_i", F.row_number().over(order)).filter(F.col("_i") <= most)
+    lines = top.groupBy(*keys).agg(F.array_sort(F.collect_list("message")).alias("_lines"))
+    total = each.groupBy(*keys).agg(F.count("*").alias("_kinds"))
+    more = F.when(F.col("_kinds") > most, F.array(F.format_string("and %d more kinds of messages", F.col("_kinds") - most))).otherwise(F.array().cast("array<string>"))
+    return lines.join(total, keys).select(*keys, F.array_join(F.concat("_lines", more), "\n").alias("messages"))
+
+
+def gapless_end(slices: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the longest run of finished slices from the first on: how many, and where it ends.
+
+    ``slices``: the keys, slice (from 0), finished, updated_before; they may end in any order,
+    and one that is there twice is finished when it is so once.
+    """
+    done = slices.filter("finished").groupBy(*keys, "slice").agg(F.max("updated_before").alias("updated_before"))
+    island = F.col("slice") - F.row_number().over(Window.partitionBy(*keys).orderBy("slice"))
+    return done.withColumn("_island", island).filter("_island = -1").groupBy(*keys).agg(
+        F.count("*").alias("finished"), F.max_by("updated_before", "slice").alias("updated_before")
+    )
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: list[str], compared: list[str]) -> DataFrame:
     """Rows added, changed, unchanged and removed between two snapshots.
 

@@ -10,11 +10,16 @@ SALTS = 16
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure a side before it is broadcast."""
+    """Measure a side before it is broadcast; nested values count by their text."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     width = F.lit(8 * len(df.columns)).cast("bigint")
     for name in texts:
         width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        elif isinstance(f.dataType, T.VariantType):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.col(f"`{f.name}`"))), F.lit(0))
     rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 

@@ -147,20 +147,19 @@ def finish(runs: DataFrame, now: datetime, full_period: timedelta) -> DataFrame:
     )
 
 
+def stop_flags(sources: DataFrame, at: datetime | None) -> DataFrame:
+    """State changes that stop sources, or with no time let them run again."""
+    none = F.lit(None).cast("string")
+    return sources.select("source", none.alias("space_key"), F.lit(STOPPED).alias("property"), F.lit(at).cast("timestamp").alias("value"))
+
+
 def pause(state: DataFrame, sources: DataFrame, at: datetime) -> DataFrame:
     """State with the sources stopped until they are resumed."""
-    flags = sources.select(
-        "source", F.lit(None).cast("string").alias("space_key"), F.lit(STOPPED).alias("property"), F.lit(at).alias("value")
-    )
-    return state_put(state, flags)
+    return state_put(state, stop_flags(sources, at))
 
 
 def resume(state: DataFrame, sources: DataFrame) -> DataFrame:
-    flags = sources.select(
-        "source", F.lit(None).cast("string").alias("space_key"), F.lit(STOPPED).alias("property"),
-        F.lit(None).cast("timestamp").alias("value"),
-    )
-    return state_put(state, flags)
+    return state_put(state, stop_flags(sources, None))
 
 
 def running_sources(spaces: DataFrame, state: DataFrame) -> DataFrame:

@@ -20,16 +20,17 @@ def force_run(
 ) -> DataFrame:
     """Make spaces due; the affected ones are returned, none when the space is unknown."""
     changes = st.force(spaces.filter(F.col("source") == source), kind, at, space_key)
-    store.write_state(st.state_put(store.state(source), changes), source, time.time_ns() // 1000)
+    changes = store.save(changes, "forced", generation := time.time_ns() // 1000)
+    store.write_state(changes, source, generation)
     return changes.select("source", "space_key")
 
 
 def pause_source(store: SyncStore, source: str, at: datetime) -> None:
-    store.write_state(st.pause(store.state(source), _sources(store, source), at), source, time.time_ns() // 1000)
+    store.write_state(st.stop_flags(_sources(store, source), at), source, time.time_ns() // 1000)
 
 
 def resume_source(store: SyncStore, source: str) -> None:
-    store.write_state(st.resume(store.state(source), _sources(store, source)), source, time.time_ns() // 1000)
+    store.write_state(st.stop_flags(_sources(store, source), None), source, time.time_ns() // 1000)
 
 
 def source_report(store: SyncStore, source: str, spaces: DataFrame, now: datetime, since: datetime) -> DataFrame:

@@ -20,6 +20,7 @@ from syncspark.operators.changes import (
     ROW_KEY,
     delete_counters,
     document_updated,
+    frequent_messages,
     require_document_id,
     require_updated,
     watermark_bump,
@@ -30,6 +31,8 @@ from syncspark.operators.comments import index_rows, lacks_comment_id
 from syncspark.operators.joins import keyed_join
 from syncspark.operators.preprocess import Preprocessor, preprocess
 from syncspark.plans.store import ROWS_PARTITIONS, SyncStore
+from syncspark.sources.paged import SLICE_BITS
+from syncspark.sources.spaces import select_spaces
 
 # A reader gets the spaces to read (source, space_key, full, updated_after) and returns
 # documents with spaceKey, page_no and pos.
@@ -49,7 +52,8 @@ def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id:
 
     A document without id or update time, or with a comment without id, fails the
     batch when ``strict``; else it becomes an ``error`` row, for which only its space
-    fails.
+    fails. A row with a ``request_error`` becomes a ``gap``: what its request would have
+    read is missing.
     """
     space = F.col("spaceKey")
     doc_id = document_id(docs.schema, cfg.document_id)
@@ -67,14 +71,15 @@ def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id:
             .when(~timely, F.concat(F.lit("last update time not found in data of document "), doc_id))
             .when(lacks_comment_id(docs, cfg), F.concat(F.lit("comment id not found in data of document "), doc_id))
         )
+    gap = F.col("request_error") if "request_error" in docs.columns else F.lit(None).cast("string")
     skip = F.col("skip_reason") if "skip_reason" in docs.columns else F.lit(None).cast("string")
     flagged = docs.select(
         "*",
         updated.alias("_updated"),
         doc_id.alias("_checked"),
-        F.when(skip.isNotNull() & ~is_blank(doc_id), "skipped").when(error.isNotNull(), "error")
+        F.when(gap.isNotNull(), "gap").when(skip.isNotNull() & ~is_blank(doc_id), "skipped").when(error.isNotNull(), "error")
         .when(document_deleted(docs.schema, cfg.deleted, cfg.deleted_value), "delete").otherwise("upsert").alias("_op"),
-        F.coalesce(skip, error).alias("_message"),
+        F.coalesce(gap, skip, error).alias("_message"),
     )
     rows = index_rows(flagged, cfg, keep=["_updated", "_checked", "_op", "_message", "page_no", "pos"], strict=strict)
     own, stored = F.col("doc_type") == cfg.doc_type, F.col("_op") == "upsert"
@@ -90,6 +95,7 @@ def target_rows(docs: DataFrame, cfg: SyncConfig, indexed_at: datetime, run_id:
         F.col("pos").cast("bigint").alias("pos"),
         "source",
         "space_key",
+        F.lit(None).cast("bigint").alias("at_run"),
         F.lit(run_id).cast("bigint").alias("run_id"),
         F.col("_op").alias("op"),
     )
@@ -105,7 +111,7 @@ def _counters(
     """
     keys = ["source", "space_key"]
     written = store.rows().filter(F.col("run_id") == run_id)
-    joined = kinds.join(_written(written, cfg), keys, "left")
+    joined = kinds.join(_written(store, written, cfg, run_id), keys, "left")
     removed = []
     of_source = F.col("doc_type").isin(*cfg.doc_types)
 
@@ -127,34 +133,44 @@ def _counters(
         joined = joined.join(delete_counters(rows, cfg.doc_type), keys, "left")
     else:
         joined = joined.withColumns({c: F.lit(0).cast("bigint") for c in ("documents_deleted", "comments_deleted")})
-    ok = F.col("failure").isNull()
+    # A full run that could not read all would take what it missed for removed.
+    failure = F.coalesce("failure", F.when(F.col("full"), F.col("gap")))
+    ok = failure.isNull()
     counted = [F.when(ok, F.coalesce(c, F.lit(0))).otherwise(0).cast("bigint").alias(c) for c in COUNTERS]
     return joined.select(
-        *keys, "full", *counted, ok.alias("ok"), F.coalesce("failure", "skips").alias("error_message"),
-        F.when(ok, watermark_bump(F.col("updated_after"), F.col("watermark"), F.col("documents_updated"))).alias("watermark"),
+        *keys, "full", *counted, ok.alias("ok"), F.coalesce(failure, F.col("skips")).alias("error_message"),
+        F.when(ok & F.col("gap").isNotNull(), F.col("watermark"))
+        .when(ok, watermark_bump(F.col("updated_after"), F.col("watermark"), F.col("documents_updated"))).alias("watermark"),
     )
 
 
-def _written(written: DataFrame, cfg: SyncConfig) -> DataFrame:
-    """Per space: stored and skipped documents, kinds of skips, the first failure, and
-    the update time of the last stored document in page order.
+def _written(store: SyncStore, written: DataFrame, cfg: SyncConfig, run_id: int) -> DataFrame:
+    """Per space: stored and skipped documents, the most frequent messages, the first failure,
+    the first gap, and the update time of the last stored document in page order before it.
 
-    Rows are first reduced to one per kind and message.
+    Rows are first reduced to one per kind, slice and message; these are kept in the table
+    ``messages``, so the report needs to hold a few lines only.
     """
     keys = ["source", "space_key"]
-    message = F.when(F.col("op") == "skipped", F.col("body"))
+    said = F.when(F.col("op").isin("skipped", "gap"), F.col("body"))
     failure = F.when(F.col("op") == "error", F.struct("page_no", "pos", "body"))
+    gap = F.when(F.col("op") == "gap", F.struct("page_no", "pos", "body"))
     last = F.when(F.col("op").isin("upsert", "delete"), F.struct("page_no", "pos", "updated"))
-    kinds = written.filter(F.col("doc_type") == cfg.doc_type).groupBy(*keys, "op", message.alias("_m")).agg(
-        F.count("*").alias("_n"), F.min(failure).alias("_failure"), F.max(last).alias("_last")
-    )
-    return kinds.groupBy(*keys).agg(
-        F.sum(F.when(F.col("op") == "upsert", F.col("_n"))).alias("documents_updated"),
-        F.sum(F.when(F.col("op") == "skipped", F.col("_n"))).alias("documents_with_error"),
-        F.nullif(F.array_join(F.array_sort(F.collect_set("_m")), "\n"), F.lit("")).alias("skips"),
-        F.min("_failure")["body"].alias("failure"),
-        F.max("_last")["updated"].alias("watermark"),
+    part = F.shiftright(F.coalesce("page_no", F.lit(0)), SLICE_BITS)
+    kinds = written.filter(F.col("doc_type") == cfg.doc_type).groupBy(*keys, "op", part.alias("slice"), said.alias("message")).agg(
+        F.count("*").alias("n"), F.min(failure).alias("failure"), F.min(gap).alias("gap"), F.max(last).alias("last")
     )
+    kinds = store.save(kinds, "messages", run_id)
+    gaps = kinds.groupBy(*keys).agg(F.min("gap").alias("_gap"), F.min(F.when(F.col("op") == "gap", F.col("slice"))).alias("_until"))
+    gaps = gaps.filter("_gap is not null")
+    read = F.col("_until").isNull() | (F.col("slice") <= F.col("_until"))
+    return kinds.join(gaps, keys, "left").groupBy(*keys).agg(
+        F.sum(F.when(F.col("op") == "upsert", F.col("n"))).alias("documents_updated"),
+        F.sum(F.when(F.col("op") == "skipped", F.col("n"))).alias("documents_with_error"),
+        F.min("failure")["body"].alias("failure"),
+        F.first("_gap")["body"].alias("gap"),
+        F.max(F.when(read, F.col("last")))["updated"].alias("watermark"),
+    ).join(frequent_messages(kinds, keys).withColumnRenamed("messages", "skips"), keys, "left")
 
 
 def sync_once(
@@ -202,7 +218,7 @@ def sync_once(
     # First the data, then how far it goes: a pass that dies in between reads it once more.
     if failure is None:
         store.commit(runs.filter("ok"), run_id)
-    store.write_state(_next_state(state, runs, cfg, now), cfg.source, run_id)
+    store.write_state(_state_changes(runs, cfg, now), cfg.source, run_id)
     sinks.append_activity(act.activity_row(runs), store.path("activity"))
     return RunReport(run_id, runs)
 
@@ -229,7 +245,7 @@ def store_batch(store: SyncStore, cfg: SyncConfig, docs: DataFrame, now: datetim
     counted = counted.join(kinds.select(*keys, "updated_after"), keys).withColumn("watermark", F.greatest("watermark", "updated_after"))
     runs = store.save(_run_rows(counted.drop("updated_after"), now, began), "reports", run_id)
     store.commit(runs, run_id, stream, batch_id)
-    store.write_state(_next_state(state, runs, cfg, now), cfg.source, run_id)
+    store.write_state(_state_changes(runs, cfg, now), cfg.source, run_id)
     sinks.append_activity(act.activity_row(runs), store.path("activity"))
 
 
@@ -241,7 +257,7 @@ def _run_rows(counted: DataFrame, now: datetime, began: float) -> DataFrame:
     )
 
 
-def _next_state(state: DataFrame, runs: DataFrame, cfg: SyncConfig, now: datetime) -> DataFrame:
+def _state_changes(runs: DataFrame, cfg: SyncConfig, now: datetime) -> DataFrame:
     keys = ["source", "space_key"]
     changes = runs.select(*keys, F.lit(st.LAST_START).alias("property"), F.lit(now).alias("value")).unionByName(
         st.finish(runs, now, cfg.full_update_period)
@@ -249,7 +265,15 @@ def _next_state(state: DataFrame, runs: DataFrame, cfg: SyncConfig, now: datetim
     if cfg.read_mode.incremental:
         marks = runs.filter("watermark IS NOT NULL")
         changes = changes.unionByName(marks.select(*keys, F.lit(st.WATERMARK).alias("property"), F.col("watermark").alias("value")))
-    return st.state_put(state, changes)
+    return changes
+
+
+def sync_source(
+    store: SyncStore, cfg: SyncConfig, listed: DataFrame, read: Reader, now: datetime, chain: Iterable[Preprocessor] = ()
+) -> RunReport | None:
+    """A pass over the spaces that the configuration selects from the ``listed`` ones (space_key)."""
+    chosen = select_spaces(listed, cfg.spaces_indexed, cfg.spaces_excluded).distinct()
+    return sync_once(store, cfg, chosen.select(F.lit(cfg.source).alias("source"), "space_key"), read, now, chain)
 
 
 def utc(*parts: int) -> datetime:

@@ -16,6 +16,8 @@ SETTINGS = {
     # Split a skewed join also where the split costs another shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Filters on requests decide which of them a page source makes.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

@@ -34,6 +34,8 @@ class PagedClient(Protocol):
     ) -> Page: ...
 
 
+MOST_TASKS = 10_000
+
 PAYLOAD_SCHEMA = "space_key string, slice bigint, page_no bigint, start_at bigint, total bigint, payload string"
 
 
@@ -48,7 +50,9 @@ def fetch_pages(requests: DataFrame, client: PagedClient, paged: bool = True) ->
     ship_package(requests.sparkSession)
     defaults = {"slice": "bigint", "updated_after": "timestamp", "updated_before": "timestamp"}
     given = [F.col(n) if n in requests.columns else F.lit(None).cast(kind).alias(n) for n, kind in defaults.items()]
-    rows = requests.select("space_key", "full", *given).repartition("space_key", "slice")
+    rows = requests.select("space_key", "full", *given)
+    # With a number, or Spark would join such small partitions to one task again.
+    rows = rows.repartition(max(1, min(rows.count(), MOST_TASKS)), "space_key", "slice")
 
     def moment(value) -> datetime | None:
         return None if pd.isna(value) else value.to_pydatetime()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -35,9 +36,19 @@ def scan_updated_per_space(docs: DataFrame, updated: str, watermarks: DataFrame)
 
     ``watermarks``: space_key, updated_after, one row per space, null for a full read.
     """
-    marks = watermarks.select("space_key", F.col("updated_after").alias("_after"))
-    joined = keyed_join(docs, marks, ["space_key"], "inner", hot=True)
-    return joined.filter(F.col("_after").isNull() | (F.col(updated) >= F.col("_after"))).drop("_after")
+    # The oldest bound of all is a literal, and so reaches the files; spaces that are read
+    # whole are a scan of their own, lest that bound is lost.
+    oldest, whole = watermarks.agg(F.min("updated_after"), F.count_if(F.col("updated_after").isNull())).first()
+    marks, scans = watermarks.select("space_key", F.col("updated_after").alias("_after")), []
+    if oldest is not None:
+        kind = docs.schema[updated].dataType
+        bound = watermarks.sparkSession.range(1).select(F.lit(oldest).cast(kind).cast("string")).first()[0]
+        since = docs.filter(F.col(updated) >= F.lit(bound).cast(kind))
+        joined = keyed_join(since, marks.filter("_after is not null"), ["space_key"], "inner", hot=True)
+        scans.append(joined.filter(F.col(updated) >= F.col("_after")).drop("_after"))
+    if whole:
+        scans.append(keyed_join(docs, marks.filter("_after is null").select("space_key"), ["space_key"], "left_semi", hot=True))
+    return reduce(DataFrame.unionByName, scans) if scans else docs.limit(0)
 
 
 def scan_updated_slice(
