@@ -19,7 +19,15 @@ def remap_struct(value: Column, kind: T.StructType, renames: dict[str, str]) ->
 
 
 def remap_map(value: Column, renames: dict[str, str]) -> Column:
-    """Same for a map column."""
+    """Same for a map column; of listed keys with one new name, the last that is there counts."""
+    if len(set(renames.values())) < len(renames):
+        entries = []
+        for name in dict.fromkeys(renames.values()):
+            entry = F.lit(None)
+            for old in (old for old, new in renames.items() if new == name):
+                entry = F.when(F.map_contains_key(value, old), F.struct(F.lit(name).alias("key"), value[old].alias("value"))).otherwise(entry)
+            entries.append(entry)
+        return F.when(value.isNotNull(), F.map_from_entries(F.array_compact(F.array(*entries))))
     table = F.create_map(*[F.lit(item) for pair in renames.items() for item in pair])
     listed = F.map_filter(value, lambda key, _: key.isin(*renames))
     return F.transform_keys(listed, lambda key, _: table[key])

@@ -177,3 +177,12 @@ def test_huge_parent_keeps_all_children(spark):
             body = stored.filter("doc_id = 'hot'").select(F.get_json_object("body", "$.all").alias("a"))
             assert body.select(F.json_array_length("a")).first()[0] == 10_050
 
+
+
+def test_map_keys_that_get_one_name(spark):
+    """The last listed key that is there gives the value, as for objects."""
+    df = spark.createDataFrame([({"a": 1, "b": 2, "c": 3},), ({"a": 1},), ({},), (None,)], "m map<string,int>")
+    from syncspark.operators.mapping import remap_map
+
+    found = [r[0] for r in df.select(remap_map(F.col("m"), {"a": "x", "b": "x", "c": "a"})).collect()]
+    assert found == [{"x": 2, "a": 3}, {"x": 1}, {}, None]

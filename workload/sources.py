@@ -270,7 +270,7 @@ def atom_bodies(spark, d) -> DataFrame:
         F.lit("<entry><title>x</title><link href=\""), F.when(F.col("page_id") % 10 == 9, "").otherwise(_xml(F.col("url"))),
         F.lit("\"/></entry>"),
     )
-    return bodies(spark, d, "application/atom+xml", entry, "<feed><modified>2005-01-01</modified>", "</feed>", "-atom.xml")
+    return bodies(spark, d, "application/atom+xml", entry, "<feed><modified>2011-03-04</modified>", "</feed>", "-atom.xml")
 
 
 def rss_bodies(spark, d) -> DataFrame:
@@ -302,7 +302,7 @@ XML_SQL = sitemap_sql(
     "'WEEKLY'", "CASE WHEN page_id % 20 <= 10 THEN page_id % 20 / CAST(10 AS DOUBLE) ELSE 0.5 END",
 )
 TEXT_SQL = sitemap_sql(".txt", "page_id % 10 < 8", "CAST(NULL AS BIGINT)")
-ATOM_SQL = sitemap_sql("-atom.xml", "page_id % 10 < 9", "epoch_us(TIMESTAMP '2005-01-01') // 1000")
+ATOM_SQL = sitemap_sql("-atom.xml", "page_id % 10 < 9", "epoch_us(TIMESTAMP '2011-03-04') // 1000")
 RSS_SQL = sitemap_sql("-rss.xml", "page_id % 10 < 9", "epoch_us(TIMESTAMP '2016-05-16 09:30:00') // 1000")
 
 
