@@ -133,6 +133,12 @@ class SyncConfig:
             return [self.doc_type, self.comment_type]
         return [self.doc_type]
 
+    def first_names(self) -> list[str]:
+        """First steps of all paths into a document, in order of use."""
+        paths = [self.document_id, self.updated, self.deleted, self.comments]
+        paths += [mapping.remote_field for mapping in self.fields.values()]
+        return list(dict.fromkeys(path.split(".")[0] for path in paths if path))
+
     def validate(self) -> None:
         self._text(self.document_id, "document_id")
         if self.read_mode is ReadMode.UPDATE_TIMESTAMP:

@@ -29,13 +29,16 @@ def quoted(path: str) -> str:
 def path_type(schema: T.StructType, path: str) -> T.DataType | None:
     """Type a path resolves to, or None when a level is missing.
 
-    A step into an array of objects yields an array of the member values.
+    A step into an array of objects yields an array of the member values. A step into
+    VARIANT yields VARIANT, as what is there differs from row to row.
     """
     current: T.DataType = schema
     arrays = 0
     for part in path.split("."):
         while isinstance(current, T.ArrayType):
             current, arrays = current.elementType, arrays + 1
+        if isinstance(current, T.VariantType):
+            break
         if isinstance(current, T.MapType):
             current = current.valueType
         elif isinstance(current, T.StructType) and part in current.names:
@@ -51,18 +54,78 @@ def struct_path(schema: T.StructType, path: str, root: Column | None = None) ->
     """Value at ``path``; a missing field is null instead of an analysis error."""
     if path_type(schema, path) is None:
         return F.lit(None)
+    parts = path.split(".")
+    typed, arrays = _typed_steps(schema, parts)
     if root is None:
-        return F.col(quoted(path))
-    value = root
-    for part in path.split("."):
-        value = value[part]
-    return value
+        value = F.col(quoted(".".join(parts[:typed])))
+    else:
+        value = root
+        for part in parts[:typed]:
+            value = value[part]
+    if typed == len(parts):
+        return value
+    return _inside(value, arrays, lambda item: variant_member(item, parts[typed:]))
+
+
+def _typed_steps(schema: T.DataType, parts: list[str]) -> tuple[int, int]:
+    """How many steps lead to the first VARIANT (all, if there is none), and through how
+    many arrays."""
+    for i in range(len(parts)):
+        kind, arrays = path_type(schema, ".".join(parts[:i])) if i else schema, 0
+        while isinstance(kind, T.ArrayType):
+            kind, arrays = kind.elementType, arrays + 1
+        if isinstance(kind, T.VariantType):
+            return i, arrays
+    return len(parts), 0
+
+
+def _inside(value: Column, arrays: int, step) -> Column:
+    if not arrays:
+        return step(value)
+    return F.transform(value, lambda item: _inside(item, arrays - 1, step))
+
+
+def json_path(parts: list[str]) -> str:
+    """Steps as a path into VARIANT."""
+    steps = []
+    for part in parts:
+        quote = "'" if '"' in part else '"'
+        steps.append(f"[{quote}{part}{quote}]" if "[" in part else f".{part}")
+    return "$" + "".join(steps)
 
 
 def variant_path(doc: Column, path: str, as_type: str = "string") -> Column:
     """Value at ``path`` of a VARIANT document; missing or unconvertible is null."""
-    steps = "".join("['" + part.replace("'", "\\'") + "']" for part in path.split("."))
-    return F.try_variant_get(doc, "$" + steps, as_type)
+    return F.try_variant_get(doc, json_path(path.split(".")), as_type)
+
+
+def variant_member(value: Column, parts: list[str], listed: bool = False) -> Column:
+    """Member of a VARIANT as VARIANT; missing is null.
+
+    As with typed arrays, a list on the way yields the list of its objects' members, with
+    a null for an object that lacks it. Lists directly in lists are not entered.
+    """
+    found = [F.try_variant_get(value, json_path(parts), "variant")]
+    for i in range(1 if listed else 0, len(parts)):
+        items = F.try_variant_get(value, json_path(parts[:i]), "array<variant>")
+        members = F.transform(items, lambda item: variant_member(item, parts[i:], listed=True))
+        found.append(F.when(items.isNotNull(), F.to_variant_object(members)))
+    return F.coalesce(*found)
+
+
+def variant_object(value: Column) -> Column:
+    """Members of a VARIANT object as a map; null for anything else."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def variant_list(value: Column) -> Column:
+    """Items of a VARIANT list; null for anything else."""
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def as_variant(value: Column) -> Column:
+    """Any value as VARIANT, nested ones too."""
+    return F.try_variant_get(F.to_variant_object(F.array(value)), "$[0]", "variant")
 
 
 def is_simple(value: Column) -> Column:
@@ -117,6 +180,8 @@ def put_path(df: DataFrame, path: str, value: Column) -> DataFrame:
 def _put(column, kind, rest, value, path):
     if not rest:
         return value
+    if isinstance(kind, T.VariantType):
+        return _put_variant(column, rest, value, path)
     fields = []
     if kind is not None and not isinstance(kind, T.NullType):
         if not isinstance(kind, T.StructType):
@@ -131,3 +196,13 @@ def _put(column, kind, rest, value, path):
             for name, sub, sub_kind in kept
         ]
     )
+
+
+def _put_variant(column, rest, value, path):
+    empty = variant_object(F.parse_json(F.lit("{}")))
+    wrong = F.raise_error(F.lit(f"cannot set '{path}': an element on the way is not an object"))
+    absent = column.isNull() | F.is_variant_null(column)
+    members = F.when(absent, empty).otherwise(F.coalesce(variant_object(column), wrong))
+    new = value if len(rest) == 1 else _put_variant(members[rest[0]], rest[1:], value, path)
+    others = F.map_filter(members, lambda name, _: name != rest[0])
+    return F.to_variant_object(F.map_concat(others, F.create_map(F.lit(rest[0]), as_variant(new))))

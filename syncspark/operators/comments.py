@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncspark.config import CommentMode, SyncConfig
 from syncspark.errors import ConfigError
-from syncspark.functions.paths import path_type, quoted, simple_string, struct_path
+from syncspark.functions.paths import path_type, quoted, simple_string, struct_path, variant_list
 from syncspark.operators.mapping import (
     document_json,
     map_fields,
@@ -15,11 +15,16 @@ from syncspark.operators.mapping import (
 )
 
 
-def _comments(docs: DataFrame, cfg: SyncConfig) -> tuple[Column, T.StructType] | None:
+def _comments(docs: DataFrame, cfg: SyncConfig) -> tuple[Column, T.DataType] | None:
     kind = path_type(docs.schema, cfg.comments)
     if kind is None:
         return None
-    if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)):
+    if isinstance(kind, T.VariantType):
+        value = struct_path(docs.schema, cfg.comments)
+        wrong = F.raise_error(F.lit(f"'{cfg.comments}' must be an array of objects"))
+        given = value.isNotNull() & ~F.is_variant_null(value)
+        return F.when(given, F.coalesce(variant_list(value), wrong)), kind
+    if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.VariantType))):
         raise ConfigError(f"'{cfg.comments}' must be an array of objects")
     return struct_path(docs.schema, cfg.comments), kind.elementType
 

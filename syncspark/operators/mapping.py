@@ -7,7 +7,7 @@ import warnings
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncspark.config import FieldMapping, SyncConfig
-from syncspark.functions.paths import path_type, simple_string, struct_path
+from syncspark.functions.paths import path_type, simple_string, struct_path, variant_list, variant_object
 
 
 def remap_struct(value: Column, kind: T.StructType, renames: dict[str, str]) -> Column:
@@ -33,6 +33,18 @@ def remap_map(value: Column, renames: dict[str, str]) -> Column:
     return F.transform_keys(listed, lambda key, _: table[key])
 
 
+def remap_variant(value: Column, renames: dict[str, str]) -> Column:
+    """Same for a VARIANT, by what it holds in each row: an object, a list whose objects are
+    meant, or a value that stays. Members that are null are left out."""
+
+    def one(item: Column) -> Column:
+        members = F.map_filter(variant_object(item), lambda _, member: ~F.is_variant_null(member))
+        return F.when(members.isNotNull(), F.to_variant_object(remap_map(members, renames))).otherwise(item)
+
+    items = variant_list(value)
+    return F.when(items.isNotNull(), F.to_variant_object(F.transform(items, one))).otherwise(one(value))
+
+
 def filter_keys(value: Column, keep: list[str]) -> Column:
     """Map entries with a listed key; an empty list changes nothing."""
     if not keep:
@@ -48,7 +60,9 @@ def value_filter(value: Column, kind: T.DataType | None, renames: dict[str, str]
         return remap_struct(value, kind, renames)
     if isinstance(kind, T.MapType):
         return remap_map(value, renames)
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.MapType)):
+    if isinstance(kind, T.VariantType):
+        return remap_variant(value, renames)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.MapType, T.VariantType)):
         return F.transform(value, lambda item: value_filter(item, kind.elementType, renames))
     warnings.warn(f"filter defined for a field that holds no object: '{name}'", stacklevel=2)
     return value
@@ -65,6 +79,8 @@ def mapped_columns(
     for name, mapping in fields.items():
         kind = path_type(schema, mapping.remote_field)
         value = struct_path(schema, mapping.remote_field, root)
+        if isinstance(kind, T.VariantType):
+            value = F.when(~F.is_variant_null(value), value)
         renames = filters.get(mapping.value_filter) if mapping.value_filter else None
         out.append(value_filter(value, kind, renames, mapping.remote_field).alias(name))
     return out

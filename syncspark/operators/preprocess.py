@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from syncspark.functions.paths import put_path, struct_path
+from syncspark.functions.paths import path_type, put_path, struct_path
 from syncspark.operators.joins import keyed_join
 
 Preprocessor = Callable[[DataFrame], DataFrame]
@@ -39,8 +39,11 @@ def lookup(source_field: str, table: DataFrame, key: str, values: dict[str, str]
 
     def run(docs: DataFrame) -> DataFrame:
         held = {target: f"_lookup_{i}" for i, target in enumerate(values)}
-        side = table.select(F.col(key).alias("_key"), *[F.col(values[t]).alias(c) for t, c in held.items()])
-        joined = keyed_join(docs.withColumn("_key", struct_path(docs.schema, source_field)), side, ["_key"], "left", hot=True)
+        value, wanted = struct_path(docs.schema, source_field), F.col(key)
+        if isinstance(path_type(docs.schema, source_field), T.VariantType):
+            value, wanted = value.try_cast("string"), wanted.cast("string")
+        side = table.select(wanted.alias("_key"), *[F.col(values[t]).alias(c) for t, c in held.items()])
+        joined = keyed_join(docs.withColumn("_key", value), side, ["_key"], "left", hot=True)
         for target, column in held.items():
             joined = put_path(joined, target, F.col(column))
         return joined.drop("_key", *held.values())

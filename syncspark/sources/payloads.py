@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from syncspark.functions.paths import struct_path
+from syncspark.functions.paths import json_path, struct_path
 from syncspark.functions.text import node_int
 
 
@@ -60,6 +60,25 @@ def extract_documents(
     return rows.select(*carry, F.col("pos").cast("bigint").alias("pos"), *own, *[F.col(a).alias(n) for n, a in held.items()])
 
 
+def extract_open_documents(
+    payloads: DataFrame, names: list[str], docs_path: str | None = None, carry: list[str] = ("space_key", "page_no"),
+    column: str = "payload",
+) -> DataFrame:
+    """Documents whose schema nobody knows: ``names`` of each one as VARIANT columns next to
+    ``carry`` and ``pos``.
+
+    ``SyncConfig.first_names`` gives the names a configuration needs; its paths lead on into
+    the VARIANT, and a value may have another type in every document. A response that is not
+    JSON or has no array at the expected place fails the run.
+    """
+    steps = docs_path.split(".") if docs_path else []
+    docs = F.try_variant_get(F.try_parse_json(column), json_path(steps), "array<variant>")
+    checked = F.coalesce(docs, F.raise_error(F.lit("response holds no array of documents")))
+    rows = payloads.select(*carry, F.posexplode(checked).alias("pos", "_d"))
+    own = [F.try_variant_get(F.col("_d"), json_path([name]), "variant").alias(name) for name in names]
+    return rows.select(*carry, F.col("pos").cast("bigint").alias("pos"), *own)
+
+
 def extract_total(payload: Column, total_path: str | None) -> Column:
     """Total count of a response; configured but missing or not a number fails the run."""
     if total_path is None:

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as hst
 from pyspark.sql import functions as F
 
-from syncspark.errors import WriteFailedError
+from syncspark.errors import ConfigError, WriteFailedError
 from syncspark.operators import changes as ch, joins, sinks
 from syncspark.plans.sync import utc
 
@@ -189,10 +189,23 @@ def test_latest_keeps_the_newest_row(spark, rows):
 
 def test_write_documents(spark, tmp_path):
     rows = spark.range(10).withColumn("p", F.col("id") % 2)
-    paths = str(tmp_path / "t"), str(tmp_path / "d")
-    result = sinks.write_documents(rows, F.when(F.col("id") < 8, F.col("id") != 3), *paths, ["p"])
-    assert (result.written, result.failed) == (7, 3)
-    assert spark.read.parquet(paths[0]).count() == 7 and spark.read.parquet(paths[1]).count() == 3
+    target, computed = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            computed.add(len(frame))
+            yield frame
+
+    once = rows.mapInPandas(count, rows.schema)
+    result = sinks.write_documents(once, F.when(F.col("id") < 8, F.col("id") != 3), target, ["p"])
+    assert (result.written, result.failed) == (7, 3) and computed.value == 10
+    assert sinks.stored(spark, target, rows.schema).count() == 7
+    refused = sinks.stored(spark, target, rows.schema, refused=True)
+    assert {r.id for r in refused.collect()} == {3, 8, 9}
+    assert "PartitionFilters: [isnotnull(refused" in refused._jdf.queryExecution().toString()
     with pytest.raises(WriteFailedError):
-        sinks.write_documents(rows, F.lit(False), *paths)
-    assert sinks.write_documents(rows.limit(0), F.lit(True), *paths).written == 0
+        sinks.write_documents(rows, F.lit(False), target, ["p"])
+    assert sinks.stored(spark, target, rows.schema, refused=True).count() == 13
+    assert sinks.write_documents(rows.limit(0), F.lit(True), target, ["p"]).written == 0
+    with pytest.raises(ConfigError):
+        sinks.write_documents(rows.withColumn("refused", F.lit(1)), F.lit(True), target)

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from syncspark.config import SyncConfig
+from syncspark.functions.paths import path_type, put_path, simple_string, struct_path
 from syncspark.operators import comments as cm, mapping as mp, preprocess as pp
+from syncspark.sources.payloads import extract_open_documents
 
 DOCS = [
     {
@@ -178,7 +180,6 @@ def test_huge_parent_keeps_all_children(spark):
             assert body.select(F.json_array_length("a")).first()[0] == 10_050
 
 
-
 def test_map_keys_that_get_one_name(spark):
     """The last listed key that is there gives the value, as for objects."""
     df = spark.createDataFrame([({"a": 1, "b": 2, "c": 3},), ({"a": 1},), ({},), (None,)], "m map<string,int>")
@@ -186,3 +187,66 @@ def test_map_keys_that_get_one_name(spark):
 
     found = [r[0] for r in df.select(remap_map(F.col("m"), {"a": "x", "b": "x", "c": "a"})).collect()]
     assert found == [{"x": 2, "a": 3}, {"x": 1}, {}, None]
+
+
+@pytest.fixture
+def open_docs(spark):
+    """The same documents without a schema, as one response."""
+    payload = json.dumps({"data": {"items": DOCS}})
+    pages = spark.createDataFrame([("AB", 0, payload)], "spaceKey string, page_no int, payload string")
+    return extract_open_documents(pages, config("child").first_names(), "data.items", ["spaceKey", "page_no"])
+
+
+@pytest.mark.parametrize("mode", ["none", "embedded", "child", "standalone"])
+def test_documents_without_schema_are_mapped_alike(docs, open_docs, mode):
+    assert {f.dataType.simpleString() for f in open_docs.schema if f.name in ("key", "fields")} == {"variant"}
+    cfg = config(mode)
+    assert bodies(cm.index_rows(open_docs, cfg)) == bodies(cm.index_rows(docs, cfg))
+    found, typed = (cm.index_rows(d, cfg).select("doc_id", "parent_id", "document_id").collect() for d in (open_docs, docs))
+    assert sorted(found, key=str) == sorted(typed, key=str)
+
+
+def test_paths_into_variant(spark):
+    doc = {
+        "list": [{"a": {"b": 1}}, {"a": [{"b": 2}, {"c": 3}]}, {"x": 1}, 5], "n": None, "we[i]rd": {"it's?": "y"},
+        "s": "text", "o": {"d": 1.5, "k": 7}, "deep": [[{"a": 1}]],
+    }
+    df = spark.createDataFrame([(json.dumps(doc),), (None,)], "t string").select(F.parse_json("t").alias("v"))
+    df = df.select("v", F.struct(F.array("v", "v").alias("vs")).alias("s"))
+
+    def at(path):
+        return df.select(F.to_json(struct_path(df.schema, path))).first()[0]
+
+    assert at("v.list.a.b") == "[1,[2,null],null,null]"
+    assert at("v.we[i]rd.it's?") == '"y"' and at("v.s.none") is None and at("v.o.k") == "7"
+    assert at("v.deep.a") == "[null]"
+    assert at("s.vs.o.k") == "[7,7]" and path_type(df.schema, "s.vs.o.k").simpleString() == "array<variant>"
+    ids = df.select(simple_string(df.schema, "v.o.k").alias("k"), simple_string(df.schema, "v.n").alias("n")).collect()
+    assert [tuple(r) for r in ids] == [("7", None), (None, None)]
+    for path in ("v.o", "v.o.d", "v.list"):
+        with pytest.raises(Exception, match="must provide a simple value"):
+            df.select(simple_string(df.schema, path)).collect()
+
+
+def test_put_into_variant(spark):
+    df = spark.sql("SELECT parse_json(t) AS v FROM VALUES ('{\"a\":{\"b\":1},\"c\":2}'), ('{\"a\":null}'), (NULL) AS x(t)")
+    out = put_path(put_path(df, "v.a.new", F.array(F.lit("x"))), "v.c", F.lit(3))
+    assert [json.loads(r[0]) for r in out.select(F.to_json("v")).collect()] == [
+        {"a": {"b": 1, "new": ["x"]}, "c": 3}, {"a": {"new": ["x"]}, "c": 3}, {"a": {"new": ["x"]}, "c": 3},
+    ]
+    with pytest.raises(Exception, match="not an object"):
+        put_path(df, "v.c.d", F.lit(1)).collect()
+    labels = spark.sql("SELECT 2 AS code, 'two' AS label")
+    named = pp.preprocess(df, [pp.lookup("v.c", labels, "code", {"v.label": "label"})])
+    assert {r[0] for r in named.select(F.expr("try_variant_get(v, '$.label', 'string')")).collect()} == {"two", None}
+
+
+def test_comments_of_another_kind_fail(spark):
+    pages = spark.createDataFrame([("AB", '[{"key": "1", "fields": {"talk": {"entries": "none"}}}]')], "spaceKey string, payload string")
+    found = extract_open_documents(pages, config("child").first_names(), None, ["spaceKey"])
+    with pytest.raises(Exception, match="must be an array of objects"):
+        cm.index_rows(found, config("child")).collect()
+    for wrong in ("{}", "no json", None):
+        page = spark.createDataFrame([("AB", wrong)], "spaceKey string, payload string")
+        with pytest.raises(Exception, match="no array of documents"):
+            extract_open_documents(page, ["key"], None, ["spaceKey"]).collect()

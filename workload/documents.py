@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from syncspark.config import SyncConfig
 from syncspark.operators.comments import collect_children
+from syncspark.sources.payloads import extract_open_documents
 from workload.base import table, text
 
 
@@ -96,3 +97,11 @@ def line_config(mode: str) -> SyncConfig:
         field_comments="lines",
         comment_fields={"body": "body", "lang": "author.name"},
     )
+
+
+def open_docs(docs: DataFrame, cfg: SyncConfig, page: Column) -> DataFrame:
+    """Typed documents sent as JSON responses of one ``page`` each, and read without a schema."""
+    item = F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != "spaceKey"]))
+    pages = docs.groupBy("spaceKey", page.alias("page_no")).agg(F.array_join(F.collect_list(item), ",").alias("items"))
+    payloads = pages.select("spaceKey", "page_no", F.concat(F.lit('{"data":{"items":['), "items", F.lit("]}}")).alias("payload"))
+    return extract_open_documents(payloads, cfg.first_names(), "data.items", ["spaceKey", "page_no"])

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from syncspark.config import FieldMapping
-from syncspark.functions.paths import put_path
+from syncspark.config import FieldMapping, SyncConfig
+from syncspark.functions.paths import document_deleted, document_id, put_path
 from syncspark.operators import comments as cm, mapping as mp, preprocess as pp
+from syncspark.operators.changes import document_updated
 from workload.base import query, table, text
 from workload.documents import (
-    ORDER_CONFIG, line_config, line_docs, order_docs, thread_config, thread_docs,
+    ORDER_CONFIG, line_config, line_docs, open_docs, order_docs, thread_config, thread_docs,
 )
 
 
@@ -179,6 +180,35 @@ def p12_constant_combine(spark, d):
     return out.select("id", "fixed", F.array_join("tags", "|").alias("tags"))
 
 
+OPEN_CONFIG = SyncConfig(
+    source="shop", document_id="key", updated="fields.updated", deleted="fields.reporter.displayName", deleted_value="F",
+    fields=ORDER_CONFIG.fields, value_filters=ORDER_CONFIG.value_filters,
+)
+
+
+@query("""
+SELECT o_orderpriority AS space_key, CAST(o_orderkey AS VARCHAR) AS document_id, CAST(o_custkey AS VARCHAR) AS customer,
+       o_totalprice AS price, CAST(o_custkey AS VARCHAR) AS author_display, o_orderstatus AS author_name, TRUE AS missing_null,
+       CAST(o_orderdate AS DATE) AS updated, o_orderstatus = 'F' AS deleted
+FROM orders
+""")
+def p1_open_documents(spark, d):
+    """Orders whose schema is not known, in responses of about 500, mapped by paths into VARIANT."""
+    docs = open_docs(order_docs(spark, d), OPEN_CONFIG, F.floor(F.col("key").cast("bigint") / 2500))
+    out = docs.select(
+        F.col("spaceKey").alias("space_key"),
+        document_id(docs.schema, "key").alias("document_id"),
+        document_updated(docs.schema, OPEN_CONFIG.updated).cast("date").alias("updated"),
+        document_deleted(docs.schema, OPEN_CONFIG.deleted, OPEN_CONFIG.deleted_value).alias("deleted"),
+        *mp.mapped_columns(docs.schema, OPEN_CONFIG.fields, OPEN_CONFIG.value_filters),
+    )
+    return out.select(
+        "space_key", "document_id", "updated", "deleted", F.col("customer").cast("string").alias("customer"),
+        F.col("price").cast("double").alias("price"), F.try_variant_get("author", "$.displayName", "string").alias("author_display"),
+        F.try_variant_get("author", "$.name", "string").alias("author_name"), F.col("missing").isNull().alias("missing_null"),
+    )
+
+
 # --- comments -------------------------------------------------------------------
 
 
@@ -288,3 +318,37 @@ def c8_children_of(spark, d):
     return cm.children_of(rows, "line").groupBy("parent_id").agg(
         F.count("*").alias("children"), F.count_if(seven).alias("of_seven")
     )
+
+
+@query("""
+SELECT CAST(conv_id AS VARCHAR) AS document_id, 'C' || (conv_id % 7) AS space_key, count(*) AS n,
+       count(*) FILTER (role = 'user') AS by_user, count(*) FILTER (role = 'user') AS named_user, sum(length(text))::BIGINT AS chars
+FROM conversations GROUP BY conv_id
+""")
+def c2_open_comments(spark, d):
+    """Conversations without a schema, their turns embedded; a path through the list of turns gives all roles."""
+    cfg = thread_config("embedded")
+    cfg.fields["roles"] = FieldMapping("comments.author.name")
+    docs = open_docs(thread_docs(spark, d), cfg, F.floor(F.col("id").cast("bigint") / 500))
+    out = cm.map_documents(docs, cfg)
+    username = lambda c: F.try_variant_get(c["comment_author"], "$.username", "string")
+    return out.select(
+        "document_id", "space_key", F.size("all_comments").cast("bigint").alias("n"),
+        F.size(F.filter("all_comments", lambda c: username(c) == "user")).cast("bigint").alias("by_user"),
+        F.size(F.filter(F.col("roles").cast("array<string>"), lambda role: role == "user")).cast("bigint").alias("named_user"),
+        F.aggregate("all_comments", F.lit(0).cast("bigint"), lambda n, c: n + F.length(c["comment_body"].cast("string"))).alias("chars"),
+    )
+
+
+@query("""
+SELECT 'document' AS doc_type, CAST(conv_id AS VARCHAR) AS doc_id, CAST(NULL AS VARCHAR) AS parent_id, CAST(NULL AS VARCHAR) AS author
+FROM (SELECT DISTINCT conv_id FROM conversations)
+UNION ALL
+SELECT 'comment', conv_id || '-' || turn, CAST(conv_id AS VARCHAR), role FROM conversations
+""")
+def c3_open_child_rows(spark, d):
+    """The same as child rows, their ids taken out of VARIANT."""
+    cfg = thread_config("child")
+    docs = open_docs(thread_docs(spark, d), cfg, F.floor(F.col("id").cast("bigint") / 500))
+    author = F.get_json_object("body", "$.comment_author.username")
+    return cm.index_rows(docs, cfg).select("doc_type", "doc_id", "parent_id", author.alias("author"))

@@ -404,13 +404,8 @@ UNION ALL SELECT 'counted', count(*) FROM orders WHERE o_totalprice <= 400000
 def s22_write_documents(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     folder = f"{shared_folder(spark)}/write-{uuid.uuid4().hex}"
-    result = sinks.write_documents(
-        rows, F.col("o_totalprice") <= 400000, f"{folder}/target", f"{folder}/refused", ["o_orderpriority"]
-    )
-    written = spark.read.schema(rows.schema).parquet(f"{folder}/target").select(F.lit("written").alias("outcome"), "o_orderkey")
+    result = sinks.write_documents(rows, F.col("o_totalprice") <= 400000, folder, ["o_orderpriority"])
+    written = sinks.stored(spark, folder, rows.schema).select(F.lit("written").alias("outcome"), "o_orderkey")
     counted = spark.range(1).select(F.lit("counted").alias("outcome"), F.lit(result.written).alias("o_orderkey"))
-    out = written.unionByName(counted)
-    if result.failed:
-        refused = spark.read.schema(rows.schema).parquet(f"{folder}/refused")
-        out = out.unionByName(refused.select(F.lit("refused").alias("outcome"), "o_orderkey"))
-    return out
+    refused = sinks.stored(spark, folder, rows.schema, refused=True).select(F.lit("refused").alias("outcome"), "o_orderkey")
+    return written.unionByName(counted).unionByName(refused)
