@@ -10,7 +10,6 @@ block wastes at its end is a sequence in thousands, and no block grows with the
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ from .tokens import default_path, encoder
 
 CAPACITY = 2048
 BLOCK_TOKENS = 1 << 24
-LOOKED_AT = 8  # tightest sequences that are scored before one is chosen
+SCORED = 32  # sequences that are scored at once
 BATCH = 1 << 21  # bytes of text that are encoded at once
 
 
@@ -69,36 +68,42 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[list
 
 
 def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int, weights: tuple[float, float, float]) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each piece of one block."""
+    """Sequence and offset of each piece of one block.
+
+    Open sequences lie by room. They are scored from the tightest one on, until room alone
+    makes the norm too large, so that the best of all of them is found. Of equals the tightest
+    and first is taken.
+    """
     where, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    room, docs, cost = [], [], []  # by sequence: what is left
-    open_: list[tuple[int, int]] = []  # (room, sequence) with room, tightest first
+    left = np.zeros((4, len(lengths)))  # room, documents, cost and number of open sequences
+    some = made = 0
     wt, wd, wc = weights[0] / capacity**2, weights[1] / max_docs**2, weights[2] / float(max_cost) ** 2
     order = np.argsort(-lengths, kind="stable")
     for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
-        best, at, scored = None, bisect_left(open_, (n, -1)), 0
-        while at < len(open_) and scored < LOOKED_AT:
-            r, s = open_[at]
-            if docs[s] >= 1 and cost[s] >= n * n:
-                norm = wt * (r - n) ** 2 + wd * (docs[s] - 1) ** 2 + wc * (cost[s] - n * n) ** 2
-                scored += 1
-                if best is None or norm < best[0]:
-                    best = (norm, at, s)
-            at += 1
-        if best is None:
-            s = len(room)
-            room.append(capacity)
-            docs.append(max_docs)
-            cost.append(max_cost)
+        at, best, need = -1, np.inf, np.array([[n], [1], [n * n]])
+        lo, step = int(np.searchsorted(left[0, :some], n)), SCORED
+        while lo < some and wt * (left[0, lo] - n) ** 2 < best:
+            rest = left[:3, lo : min(lo + step, some)] - need
+            norm = wt * rest[0] ** 2 + wd * rest[1] ** 2 + wc * rest[2] ** 2
+            norm[rest.min(axis=0) < 0] = np.inf
+            k = int(norm.argmin())
+            if norm[k] < best:
+                at, best = lo + k, norm[k]
+            lo, step = lo + step, step * 4
+        if at < 0:
+            at, some = some, some + 1
+            left[:, at] = capacity, max_docs, max_cost, made
+            made += 1
+        rest = left[:, at].copy()
+        where[i], offset[i] = rest[3], capacity - rest[0]
+        rest[:3] -= need[:, 0]
+        if rest[:3].min() > 0:
+            to = int(np.searchsorted(left[0, :at], rest[0]))
+            left[:, to + 1 : at + 1] = left[:, to:at]
+            left[:, to] = rest
         else:
-            s = best[2]
-            del open_[best[1]]
-        where[i], offset[i] = s, capacity - room[s]
-        room[s] -= n
-        docs[s] -= 1
-        cost[s] -= n * n
-        if room[s] > 0 and docs[s] > 0 and cost[s] > 0:
-            insort(open_, (room[s], s))
+            left[:, at : some - 1] = left[:, at + 1 : some]
+            some -= 1
     return where, offset
 
 

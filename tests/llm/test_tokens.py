@@ -91,6 +91,21 @@ def test_best_fit_holds_every_limit():
         assert (offset[order] == np.cumsum(lengths[order]) - lengths[order]).all()
 
 
+@pytest.mark.parametrize("weights", [(1.0, 0.01, 0.01), (1.0, 0.5, 0.5), (0.01, 1.0, 1.0), (0.0, 0.0, 1.0)])
+def test_best_fit_takes_the_best_of_all(weights):
+    rng, capacity, most, dear = np.random.default_rng(6), 256, 6, 30_000
+    lengths = np.concatenate([rng.integers(1, 173, 700), np.full(60, 40)])
+    where, _ = best_fit(lengths, capacity, most, dear, weights)
+    wt, wd, wc = weights[0] / capacity**2, weights[1] / most**2, weights[2] / float(dear) ** 2
+    left = {}
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        n, s = int(lengths[i]), int(where[i])
+        norms = {k: wt * (r - n) ** 2 + wd * (d - 1) ** 2 + wc * (c - n * n) ** 2 for k, (r, d, c) in left.items() if r >= n and d >= 1 and c >= n * n and min(r, d, c) > 0}
+        assert norms[s] == min(norms.values()) if norms else s not in left
+        r, d, c = left.get(s, (capacity, most, dear))
+        left[s] = (r - n, d - 1, c - n * n)
+
+
 def test_token_files(spark, unique, encoder):
     path = new_path(spark, "tokens")
     docs = spark.createDataFrame([r[:2] for r in unique], "doc_id long, text string")
