@@ -1,15 +1,16 @@
 """Token files with Re-Pair grammar compression.
 
-A file holds shards, a shard the ids of consecutive documents as symbols of a grammar:
-in each round frequent pairs of neighbouring symbols are replaced by new ones. No symbol
-reaches over the end of a document, and a shard stores how far the symbols and the ids of
-each document go, so one document can be decoded alone. The container is Parquet, one row
-a shard, so any store that Spark writes to will do.
+A file holds shards, a shard the ids of consecutive documents as symbols of a grammar: pairs
+of neighbouring symbols are replaced by new ones until none occurs often enough to pay for
+its rule. No symbol reaches over the end of a document, and a shard stores how far the symbols
+and the ids of each document go, so one document can be decoded alone. The container is
+Parquet, one row a shard, so any store that Spark writes to will do.
 
 Format of a row: shard; doc_ids; token_ends and symbol_ends (counts up to each document's
 end); vocabulary (ids below it stand for themselves); rules (uint32 pairs: symbol
 ``vocabulary + k`` is pair k, of earlier symbols); rule_lengths (uint32: ids that a rule
-stands for); width (bytes of a symbol); symbols. Numbers are little-endian.
+stands for); width (bits of a symbol); symbols (the lowest bit of all, eight to a byte and the
+first highest, then the next bit of all, and so on). Numbers are little-endian.
 """
 
 from __future__ import annotations
@@ -27,10 +28,7 @@ from .packing import encoded
 from .tokens import default_path, encoder
 
 SHARD_TOKENS = 1 << 22
-ROUNDS = 5
-DENSE = 2048  # symbols that are paired in a round: the most frequent of the shard
-LEAST = 12  # times a pair must occur to get a symbol
-RULES_A_ROUND = 3000
+LEAST = 8  # times a pair must occur to get a symbol: a rule takes the room of four
 
 FILE = (
     "shard long, doc_ids array<long>, token_ends array<long>, symbol_ends array<long>, vocabulary int, "
@@ -38,52 +36,69 @@ FILE = (
 )
 
 
+def _apart(at: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Of ascending places of pairs those to replace, none of which overlap: the highest score
+    goes first, and neighbours never have the same."""
+    won = []
+    while len(at):
+        touch = np.diff(at) == 1
+        wins, gone = np.ones(len(at), bool), np.zeros(len(at), bool)
+        wins[:-1] &= ~touch | (score[:-1] > score[1:])
+        wins[1:] &= ~touch | (score[1:] > score[:-1])
+        gone[:-1] = touch & wins[1:]
+        gone[1:] |= touch & wins[:-1]
+        won.append(at[wins])
+        at, score = at[~(wins | gone)], score[~(wins | gone)]
+    return np.sort(np.concatenate(won))
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (k, 2) and symbol counts up to the end of each document.
 
-    ``ends`` are the counts of ids up to the end of each document, none of them empty.
+    ``ends`` are the counts of ids up to the end of each document, none of them empty. A round
+    gives a symbol to every pair that occurs LEAST times; where pairs overlap the more frequent
+    one is replaced. Rounds go on until no pair occurs so often. After the first, only pairs
+    with a new symbol and those that lost a place can be frequent, so only these are counted.
     """
     symbols, last = ids.astype(np.int32), np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules: list[np.ndarray] = []
-    made = vocabulary
-    for _ in range(ROUNDS):
-        counts = np.bincount(symbols, minlength=made)
-        top = np.argsort(-counts, kind="stable")[:DENSE]
-        top = top[counts[top] >= LEAST]
-        rank = np.full(made, DENSE, np.int32)
-        rank[top] = np.arange(len(top))
-        ranks = rank[symbols]
-        code = ranks[:-1] * (DENSE + 1) + ranks[1:]
-        code[last[:-1] | (ranks[:-1] == DENSE) | (ranks[1:] == DENSE)] = (DENSE + 1) ** 2 - 1
-        pairs = np.bincount(code, minlength=(DENSE + 1) ** 2)
-        pairs[-1] = 0
-        often = np.flatnonzero(pairs >= LEAST)
-        often = often[np.argsort(-pairs[often], kind="stable")[:RULES_A_ROUND]]
-        if not len(often):
+    made, look = vocabulary, np.arange(max(0, len(ids) - 1))
+    while True:
+        look = look[~last[look]]
+        code = symbols[look].astype(np.int64) * made + symbols[look + 1]
+        pair, times = np.unique(code, return_counts=True)
+        often = times >= LEAST
+        pair, times = pair[often], times[often]
+        if not len(pair):
             break
-        rule = np.full(len(pairs), -1, np.int32)
-        rule[often] = np.arange(len(often))
-        which = rule[code]
-        at = np.flatnonzero(which >= 0)
-        # Of pairs that overlap in a row, every second one.
+        found = np.minimum(np.searchsorted(pair, code), len(pair) - 1)
+        hit = pair[found] == code
+        at, which = look[hit], found[hit]
+        rank = np.empty(len(pair), np.int64)
+        rank[np.argsort(times, kind="stable")] = np.arange(len(pair))
+        # In a run of one pair every second place comes first.
         place = np.arange(len(at))
-        heads = np.concatenate([[True], np.diff(at) != 1])
-        at = at[(place - np.maximum.accumulate(np.where(heads, place, 0))) % 2 == 0]
-        uses = np.bincount(which[at], minlength=len(often))
-        worth = uses >= 3
-        at = at[worth[which[at]]]
-        if not len(at):
+        heads = np.ones(len(at), bool)
+        heads[1:] = (np.diff(at) != 1) | (np.diff(which) != 0)
+        odd = (place - np.maximum.accumulate(np.where(heads, place, 0))) % 2
+        won = _apart(at, 2 * rank[which] + 1 - odd)
+        which = which[np.searchsorted(at, won)]
+        worth = np.bincount(which, minlength=len(pair)) >= 4
+        won, which = won[worth[which]], which[worth[which]]
+        if not len(won):
             break
         number = np.cumsum(worth) - 1 + made
-        pair = often[worth]
-        rules.append(np.stack([top[pair // (DENSE + 1)], top[pair % (DENSE + 1)]], axis=1))
-        symbols[at] = number[which[at]]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        last[at] = last[at + 1]
-        symbols, last = symbols[keep], last[keep]
-        made += int(worth.sum())
+        rules.append(np.stack([pair[worth] // made, pair[worth] % made], axis=1))
+        symbols[won] = number[which]
+        last[won] = last[won + 1]
+        keep, again = np.ones(len(symbols), bool), np.zeros(len(symbols), bool)
+        keep[won + 1] = False
+        again[at] = again[won] = True
+        symbols, last, again = symbols[keep], last[keep], again[keep]
+        again[:-1] |= symbols[1:] >= made
+        again[-1] = False
+        look, made = np.flatnonzero(again), made + int(worth.sum())
     return symbols, np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32), np.flatnonzero(last) + 1
 
 
@@ -91,17 +106,31 @@ class Grammar:
     """Expands symbols of a shard."""
 
     def __init__(self, vocabulary: int, rules: np.ndarray, lengths: np.ndarray):
-        spans: list[tuple[int, ...]] = []
-        for a, b in rules.tolist():
-            spans.append((spans[a - vocabulary] if a >= vocabulary else (a,)) + (spans[b - vocabulary] if b >= vocabulary else (b,)))
-        self.flat = np.concatenate([np.arange(vocabulary, dtype=np.uint32), np.fromiter((x for s in spans for x in s), np.uint32)])
+        self.vocabulary, self.rules = vocabulary, rules.astype(np.int64)
         self.lengths = np.concatenate([np.ones(vocabulary, np.int64), lengths.astype(np.int64)])
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        n = self.lengths[symbols]
-        out = np.cumsum(n)
-        return self.flat[np.repeat(self.starts[symbols] - out + n, n) + np.arange(out[-1] if len(out) else 0)]
+        """Ids of symbols. Lengths tell where each symbol's ids begin, so that rules are
+        opened level by level and ids go to their places."""
+        stops = np.cumsum(self.lengths[symbols])
+        out, at = np.empty(stops[-1] if len(stops) else 0, np.uint32), stops - self.lengths[symbols]
+        while len(symbols):
+            plain = symbols < self.vocabulary
+            out[at[plain]] = symbols[plain]
+            at, (first, second) = at[~plain], self.rules[symbols[~plain].astype(np.int64) - self.vocabulary].T
+            symbols, at = np.concatenate([first, second]), np.concatenate([at, at + self.lengths[first]])
+        return out
+
+
+def _packed(symbols: np.ndarray, width: int) -> bytes:
+    return b"".join(np.packbits((symbols >> k) & 1).tobytes() for k in range(width))
+
+
+def _unpacked(data: bytes, width: int, n: int) -> np.ndarray:
+    planes, out = np.frombuffer(data, np.uint8).reshape(width, -1), np.zeros(n, np.int32)
+    for k in range(width):
+        out |= np.unpackbits(planes[k], count=n).astype(np.int32) << k
+    return out
 
 
 def _shard(number: int, names: list, ids: list[np.ndarray], vocabulary: int) -> pa.RecordBatch:
@@ -110,8 +139,8 @@ def _shard(number: int, names: list, ids: list[np.ndarray], vocabulary: int) ->
     lengths = np.ones(vocabulary + len(rules), np.uint32)
     for k, (a, b) in enumerate(rules.tolist()):
         lengths[vocabulary + k] = lengths[a] + lengths[b]
-    width = 2 if vocabulary + len(rules) <= 1 << 16 else 4
-    row = [number, names, ends, symbol_ends, vocabulary, rules.astype("<u4").tobytes(), lengths[vocabulary:].astype("<u4").tobytes(), width, symbols.astype(f"<u{width}").tobytes()]
+    width = (vocabulary + len(rules)).bit_length()
+    row = [number, names, ends, symbol_ends, vocabulary, rules.astype("<u4").tobytes(), lengths[vocabulary:].astype("<u4").tobytes(), width, _packed(symbols, width)]
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[f.split()[0] for f in FILE.split(", ")])
 
@@ -167,7 +196,7 @@ def read_tokens(spark: SparkSession, path: str, only: Sequence[int] | None = Non
         for batch in batches:
             for row in batch.to_pylist():
                 names, ends, stops = row["doc_ids"], row["token_ends"], row["symbol_ends"]
-                symbols = np.frombuffer(row["symbols"], f"<u{row['width']}")
+                symbols = _unpacked(row["symbols"], row["width"], stops[-1])
                 grammar = Grammar(row["vocabulary"], np.frombuffer(row["rules"], "<u4").reshape(-1, 2), np.frombuffer(row["rule_lengths"], "<u4"))
                 take = [i for i, name in enumerate(names) if chosen is None or name in chosen]
                 if chosen is None:

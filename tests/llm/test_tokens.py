@@ -10,7 +10,7 @@ import pytest
 
 from syncspark.llm.common import new_path
 from syncspark.llm.packing import best_fit, pack_documents
-from syncspark.llm.repair import Grammar, compress, read_tokens, write_tokens
+from syncspark.llm.repair import LEAST, Grammar, _packed, _unpacked, compress, read_tokens, write_tokens
 from syncspark.llm.tokens import Encoder, default_path
 
 
@@ -144,4 +144,19 @@ def test_grammar_round_trip():
         for k in range(len(ends)):
             part = grammar.expand(symbols[stops[k - 1] if k else 0 : stops[k]])
             assert (part == ids[ends[k - 1] if k else 0 : ends[k]]).all()
-    assert len(symbols) <= n
+        pairs = Counter(p for a, b in zip([0, *stops[:-1]], stops, strict=True) for p in zip(symbols[a : b - 1].tolist(), symbols[a + 1 : b].tolist(), strict=True))
+        places = Counter()
+        for p, times in pairs.items():
+            places[p] = times if p[0] != p[1] else (times + 1) // 2
+        assert max(places.values(), default=0) < LEAST
+
+
+def test_grammar_shortens_long_repeats():
+    """A passage in many documents, and a run of one id, become a few symbols each."""
+    rng = np.random.default_rng(9)
+    passage = rng.integers(0, 3000, 500)
+    parts = [np.concatenate([rng.integers(0, 3000, 5), passage]) for _ in range(200)] + [np.full(40_000, 7)]
+    ids, ends = np.concatenate(parts).astype(np.uint32), np.cumsum([len(p) for p in parts])
+    symbols, rules, stops = compress(ids, ends, 3000)
+    assert np.diff(stops)[:199].max() <= 10 and stops[-1] - stops[-2] <= 24
+    assert _unpacked(_packed(symbols, 13), 13, len(symbols)).tolist() == symbols.tolist()
