@@ -118,24 +118,28 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> tuple[np.nda
 
 
 class Grammar:
-    """Expands symbols of a shard."""
+    """Expands symbols of a shard.
+
+    Rules are opened once, level by level: lengths tell where the ids of each begin. The rules
+    of a round stand for different places, so theirs are never more ids than the shard has.
+    """
 
     def __init__(self, vocabulary: int, rules: np.ndarray, lengths: np.ndarray):
-        self.vocabulary, self.rules = vocabulary, rules.astype(np.int32)
         self.lengths = np.concatenate([np.ones(vocabulary, np.int64), lengths.astype(np.int64)])
+        stops = np.cumsum(self.lengths)
+        self.starts = stops - self.lengths
+        self.flat = np.empty(stops[-1], np.uint32)
+        symbols, at, rules = np.arange(len(self.lengths)), self.starts, rules.astype(np.int64)
+        while len(symbols):
+            opened = symbols >= vocabulary
+            self.flat[at[~opened]] = symbols[~opened]
+            at, pairs = at[opened], rules[symbols[opened] - vocabulary]
+            symbols, at = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([at, at + self.lengths[pairs[:, 0]]])
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Ids of symbols. Lengths tell where each symbol's ids begin, so that rules are
-        opened level by level and ids go to their places."""
-        lengths = self.lengths[symbols]
-        at = np.cumsum(lengths) - lengths
-        out = np.empty(at[-1] + lengths[-1] if len(at) else 0, np.uint32)
-        while len(symbols):
-            rule = symbols >= self.vocabulary
-            out[at[~rule]] = symbols[~rule]
-            at, rules = at[rule], self.rules[symbols[rule] - self.vocabulary]
-            symbols, at = np.concatenate([rules[:, 0], rules[:, 1]]), np.concatenate([at, at + self.lengths[rules[:, 0]]])
-        return out
+        n = self.lengths[symbols]
+        out = np.cumsum(n)
+        return self.flat[np.repeat(self.starts[symbols] - out + n, n) + np.arange(out[-1] if len(out) else 0)]
 
 
 def _packed(symbols: np.ndarray, width: int) -> bytes:

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,16 +89,17 @@ class Encoder:
         model, letters, found, rest = self.tokenizer.model, self.letters, [], []
         for i, s in enumerate(stretches):
             if not self.uncut and s not in self.added and (s.isalpha() or (s[0] == " " and s[1:].isalpha())):  # one piece
-                found.append(array("I", [t.id for t in model.tokenize(s.encode().decode("latin-1").translate(letters))]))
+                found.append([t.id for t in model.tokenize(s.encode().decode("latin-1").translate(letters))])
             else:
                 found.append(None)
                 rest.append(i)
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([stretches[i] for i in rest], add_special_tokens=False), strict=True):
-            found[i] = array("I", e.ids)
+            found[i] = e.ids
         lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         slots = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(found))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, *[np.frombuffer(b"".join(x.tobytes() for x in found), np.uint32)]])
+        self.ids = np.concatenate([self.ids, ids])
         own = np.argsort(one, kind="stable")
         one = np.concatenate([self.one, one[own]])
         order = np.argsort(one, kind="stable")
@@ -153,8 +154,8 @@ class Encoder:
         slots = self._slots(one, two)
         new = np.flatnonzero(slots < 0)
         if len(new):
+            slots[new] = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(new))
             self._learn(distinct.take(pa.array(new)).to_pylist(), one[new], two[new])
-            slots = self._slots(one, two)
         slots = slots[coded.indices.to_numpy()]
         lengths = self.starts[slots + 1] - self.starts[slots]
         out = np.concatenate([[0], np.cumsum(lengths)])
