@@ -52,13 +52,15 @@ def _apart(at: np.ndarray, score: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate(won))
 
 
-def _order(code: np.ndarray, made: int) -> np.ndarray:
-    """Order of pairs' codes, all below the square of ``made``. Code and place are sorted as one
-    number where that has room for both, which is several times as fast."""
-    bits = len(code).bit_length()
+def _by_code(code: np.ndarray, at: np.ndarray, made: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes, all below the square of ``made``, and places, below ``n``, in their order. They are
+    sorted as one number where that has room for both, which is several times as fast."""
+    bits = n.bit_length()
     if made * made << bits < 1 << 63:
-        return np.sort(code << bits | np.arange(len(code))) & ((1 << bits) - 1)
-    return np.argsort(code, kind="stable")
+        both = np.sort((code << bits) | at)
+        return both >> bits, both & ((1 << bits) - 1)
+    order = np.argsort(code, kind="stable")
+    return code[order], at[order]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,12 +74,10 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> tuple[np.nda
     symbols, last = ids.astype(np.int32), np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules: list[np.ndarray] = []
-    made, look = vocabulary, np.arange(max(0, len(ids) - 1))
+    made, look = vocabulary, np.flatnonzero(~last[:-1])
     while True:
-        look = look[~last[look]]
         code = symbols[look].astype(np.int64) * made + symbols[look + 1]
-        order = _order(code, made)
-        code = code[order]
+        code, look = _by_code(code, look, made, len(symbols))
         starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(code)), bool), code[1:] != code[:-1]]))
         times = np.diff(starts, append=len(code))
         often = times >= LEAST
@@ -86,7 +86,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> tuple[np.nda
             break
         # Which pair begins at a place, -1 if no frequent one does.
         of = np.full(len(symbols), -1, np.int32)
-        of[look[order]] = np.repeat(np.where(often, np.cumsum(often) - 1, -1).astype(np.int32), times)
+        of[look] = np.repeat(np.where(often, np.cumsum(often) - 1, -1).astype(np.int32), times)
         at, times = np.flatnonzero(of >= 0), times[often]
         which = of[at]
         score = np.empty(len(pair), np.int32)
@@ -112,7 +112,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> tuple[np.nda
         again[at] = again[won] = True
         symbols, last, again = symbols[keep], last[keep], again[keep]
         again[:-1] |= symbols[1:] >= made
-        again[-1] = False
+        again &= ~last
         look, made = np.flatnonzero(again), made + int(worth.sum())
     return symbols, np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32), np.flatnonzero(last) + 1
 
