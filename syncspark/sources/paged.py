@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition,
@@ -33,6 +34,9 @@ REQUEST_SCHEMA = (
     "space_key string, slice bigint, updated_after timestamp, updated_before timestamp, page_no bigint, start_at bigint, "
     "total bigint, payload string, error string"
 )
+_KINDS = {"string": pa.string(), "bigint": pa.int64(), "timestamp": pa.timestamp("us", "UTC")}
+REQUEST_ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (column.split() for column in REQUEST_SCHEMA.split(", "))])
+BATCH_CHARS = 1 << 20  # answers that are handed to Spark at once, beside the last one
 PER_REQUEST = ("space_key", "slice", "updated_after", "updated_before")
 SLICE_BITS = 32  # a page number of a slice, below the slice's number
 
@@ -121,6 +125,24 @@ def _rows(client: PagedClient, request: Request, paged: bool, tolerant: bool) ->
             return
 
 
+def batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of answers as they come, in batches of bounded text: left to itself, Spark counts
+    rows only, and ten thousand answers are of any size."""
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += len(row[-2] or "")
+        if chars >= BATCH_CHARS:
+            yield _batch(held)
+            held, chars = [], 0
+    if held:
+        yield _batch(held)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), REQUEST_ARROW.types)], schema=REQUEST_ARROW)
+
+
 def _flag(options: dict[str, str], name: str, default: bool) -> bool:
     return str(options.get(name, default)).lower() == "true"
 
@@ -161,9 +183,9 @@ def page_source(client: PagedClient, name: str) -> type[DataSource]:
             kept = [r for r in asked(self.options) if all(holds(f, r) for f in self.filters)]
             return kept or [NOTHING]
 
-        def read(self, partition: Request) -> Iterator[tuple]:
+        def read(self, partition: Request) -> Iterator[pa.RecordBatch]:
             if partition.space_key is not None:
-                yield from _rows(client, partition, _flag(self.options, "paged", True), _flag(self.options, "tolerant", False))
+                yield from batches(_rows(client, partition, _flag(self.options, "paged", True), _flag(self.options, "tolerant", False)))
 
     class Stream(DataSourceStreamReader):
         def __init__(self, options: dict[str, str]):
@@ -181,8 +203,8 @@ def page_source(client: PagedClient, name: str) -> type[DataSource]:
             spaces = [s.strip() for s in self.options.get("spaces", "").split(",") if s.strip()]
             return [r for s in spaces for r in sliced(s, after is None, after, until, parse_duration(self.options.get("span")))]
 
-        def read(self, partition: Request) -> Iterator[tuple]:
-            return _rows(client, partition, _flag(self.options, "paged", True), _flag(self.options, "tolerant", False))
+        def read(self, partition: Request) -> Iterator[pa.RecordBatch]:
+            return batches(_rows(client, partition, _flag(self.options, "paged", True), _flag(self.options, "tolerant", False)))
 
     class PageSource(DataSource):
         @classmethod

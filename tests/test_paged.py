@@ -10,7 +10,8 @@ from syncspark.config import SyncConfig
 from syncspark.operators.changes import frequent_messages, gapless_end
 from syncspark.plans.store import FAN, SyncStore
 from syncspark.plans.sync import sync_once, utc
-from syncspark.sources.paged import page_source, source_reader
+from syncspark.sources.paged import BATCH_CHARS, Request, page_source, source_reader
+from syncspark.sources.client import Page
 from syncspark.sources.reads import scan_updated_per_space
 from tests.test_client import DOC, DOCS, make_client
 
@@ -164,3 +165,23 @@ def test_state_is_a_log_with_snapshots(spark, tmp_path, monkeypatch):
         store.write_state(spark.createDataFrame(rows, "source string, space_key string, property string, value timestamp"), "src", g)
     assert {(r.space_key, r.property, r.value.day) for r in store.state("src").collect()} == {("A", "watermark", 7), ("S7", "last_start", 7)}
     assert spark.read.parquet(store.path("snapshots")).select("generation").distinct().count() == 2
+
+
+def test_answers_reach_spark_in_bounded_batches(spark):
+    """However many answers a request has, a few at a time leave the worker."""
+    size, pages, asked = 100_000, 200, []
+    make_page = Page
+
+    class Large:
+        def page(self, space_key, start_at, full, updated_after, updated_before):
+            asked.append(start_at)
+            return make_page(json.dumps([{"id": str(start_at)}]).ljust(size), 1, pages)
+
+    source = page_source(Large(), "t_large")
+    batches = source({}).reader(None).read(Request("A"))
+    first = next(batches)
+    assert first.num_rows == len(asked) <= BATCH_CHARS // size + 1
+    assert first.num_rows + sum(b.num_rows for b in batches) == pages
+    spark.dataSource.register(source)
+    rows = load(spark, "t_large", spaces="A,B").selectExpr("space_key", "page_no", "start_at", "total", "trim(payload) as p", "error").collect()
+    assert sorted(map(tuple, rows)) == [(s, k, k, pages, json.dumps([{"id": str(k)}]), None) for s in "AB" for k in range(pages)]

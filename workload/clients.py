@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 
 from pyspark.sql import functions as F, types as T
 
 from syncspark.config import SyncConfig
 from syncspark.operators.state import WATERMARK
 from syncspark.plans.sync import sync_once, sync_source
-from syncspark.session import prepare
+from syncspark.session import prepare, shared_folder
 from syncspark.sources.client import Page
 from syncspark.sources.paged import page_source, source_reader
-from workload.base import at, millis, query
+from workload.base import at, millis, query, table
 from workload.changes import shown
 from workload.passes import PASSES, new_store, two_passes
 
@@ -22,36 +25,59 @@ SPACES = [f"S{k}" for k in range(5)]
 PAGE = 500
 
 
+def remote_events(spark, d) -> str:
+    """Folder of a remote system that has the events of a table by space, oldest first; a space is a fifth of the users."""
+    folder, order = f"{shared_folder(prepare(spark))}/remote-{uuid.uuid4().hex}", ["space_key", F.asc_nulls_last("ts"), F.asc_nulls_last("event_id")]
+    events = table(spark, d, "events").select(
+        F.concat(F.lit("S"), F.pmod("user_id", F.lit(5)).cast("string")).alias("space_key"), F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event_type", "value"
+    )
+    # In files that follow each other, of row groups that a request passes over or reads one by one.
+    events.repartitionByRange(*order).sortWithinPartitions(*order).write.option("parquet.block.size", 4 << 20).parquet(folder)
+    return folder
+
+
 class EventClient:
-    """The events of a table as a remote system: a space is a fifth of the users."""
+    """The remote system of ``remote_events``. It answers from an open scan, and so holds a few pages, however large a space is."""
 
     def __init__(self, folder: str, broken: tuple[datetime, datetime] | None = None):
-        self.path, self.broken, self.found = f"{folder}/events.parquet".removeprefix("file://"), broken, {}
+        self.folder, self.broken, self.open = folder, broken, None
 
     def page(self, space_key: str, start_at: int, full: bool, updated_after: datetime | None, updated_before: datetime | None) -> Page:
         if self.broken and updated_after and updated_before and self.broken[0] <= updated_after < self.broken[1]:
             raise ConnectionError("no answer")
         asked = (space_key, updated_after, updated_before)
-        if asked not in self.found:
-            self.found = {asked: self._rows(*asked)}
-        rows = self.found[asked]
-        page = rows[start_at : start_at + PAGE]
-        return Page(json.dumps(page), len(page), len(rows))
-
-    def _rows(self, space_key: str, after: datetime | None, before: datetime | None) -> list[dict]:
+        if self.open is None or self.open[:2] != (asked, start_at):
+            total, rows = self._scan(*asked)
+            self.open = asked, start_at, total, islice(rows, start_at, None)
+        total, rows = self.open[2:]
+        page = list(islice(rows, PAGE))
+        self.open = asked, start_at + len(page), total, rows
+        return Page(json.dumps(page), len(page), total)
+
+    def _scan(self, space_key: str, after: datetime | None, before: datetime | None) -> tuple[int, Iterator[dict]]:
+        """How many events a request has, and the events in order."""
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
-
-        bound = [pc.field("ts") >= after.replace(tzinfo=None)] if after else []
-        bound += [pc.field("ts") <= before.replace(tzinfo=None)] if before else []
-        where = None
-        for b in bound:
-            where = b if where is None else where & b
-        table = ds.dataset(self.path).to_table(columns=["event_id", "ts", "user_id", "event_type", "value"], filter=where).sort_by([("ts", "ascending"), ("event_id", "ascending")])
-        return [
-            {"id": str(r["event_id"]), "updated": r["ts"].isoformat() + "+00:00", "kind": r["event_type"], "value": r["value"]}
-            for r in table.to_pylist() if f"S{r['user_id'] % 5}" == space_key
-        ]
+        from pyarrow import fs
+
+        where = pc.field("space_key") == space_key
+        if after:
+            where &= pc.field("ts") >= after.replace(tzinfo=None)
+        if before:
+            where &= pc.field("ts") <= before.replace(tzinfo=None)
+        system, root = fs.FileSystem.from_uri(self.folder)
+        files = sorted(f.path for f in system.get_file_info(fs.FileSelector(root)) if f.path.endswith(".parquet"))
+        held = ds.dataset(files, filesystem=system, format="parquet")
+        total = held.count_rows(filter=where)
+        found = held.scanner(
+            columns=["event_id", "ts", "event_type", "value"], filter=where, batch_size=10 * PAGE, batch_readahead=1, fragment_readahead=1, use_threads=False,
+            fragment_scan_options=ds.ParquetFragmentScanOptions(pre_buffer=False),
+        )
+        rows = (
+            {"id": str(r["event_id"]), "updated": r["ts"] and r["ts"].isoformat() + "+00:00", "kind": r["event_type"], "value": r["value"]}
+            for batch in found.to_batches() for r in batch.to_pylist()
+        )
+        return total, rows
 
 
 def _config(mode: str, **more) -> SyncConfig:
@@ -61,7 +87,7 @@ def _config(mode: str, **more) -> SyncConfig:
 
 
 def _pass(spark, d, mode: str, name: str):
-    prepare(spark).dataSource.register(page_source(EventClient(d), name))
+    prepare(spark).dataSource.register(page_source(EventClient(remote_events(spark, d)), name))
     store, cfg, now = new_store(spark), _config(mode, spaces_excluded="S3, S9"), at(2024, 2, 1)
     listed = spark.createDataFrame([(s,) for s in SPACES], "space_key string")
     sync_source(store, cfg, listed, source_reader(spark, cfg, name, EVENT, now=now), now)
@@ -101,8 +127,9 @@ def s9_sliced_pass(spark, d):
     """A second pass in slices of four days, of which one fails: what comes after it is stored,
     but the update time stays before it."""
     spark = prepare(spark)
-    spark.dataSource.register(page_source(EventClient(d), "events_sliced"))
-    spark.dataSource.register(page_source(EventClient(d, (at(2024, 1, 18), at(2024, 1, 22))), "events_broken"))
+    events = remote_events(spark, d)
+    spark.dataSource.register(page_source(EventClient(events), "events_sliced"))
+    spark.dataSource.register(page_source(EventClient(events, (at(2024, 1, 18), at(2024, 1, 22))), "events_broken"))
     store, cfg = new_store(spark), _config("updateTimestamp", slice_span=timedelta(days=4), first_update=at(2023, 12, 1))
     spaces = spark.createDataFrame([("remote", s) for s in SPACES], "source string, space_key string")
     first, second = at(2024, 1, 15), at(2024, 2, 1)
