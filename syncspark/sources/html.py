@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from syncspark.errors import ConfigError
@@ -48,6 +48,13 @@ NODE = (
     "start:int,inner_start:int,inner_end:int,end:int,first_text:int,last_text:int>"
 )
 PAGE = f"struct<nodes:array<{NODE}>,texts:array<string>>"
+_STRINGS, _INTS = pa.list_(pa.string()), pa.list_(pa.int32())
+NODE_ARROW = pa.struct([
+    ("tag", pa.string()), ("names", _STRINGS), ("values", _STRINGS), ("position", pa.int32()), ("around", _INTS),
+    *((name, pa.int32()) for name in ("start", "inner_start", "inner_end", "end", "first_text", "last_text")),
+])
+PAGE_ARROW = pa.struct([("nodes", pa.list_(NODE_ARROW)), ("texts", _STRINGS)])
+PIECE_CHARS = 1 << 18  # HTML that is held as elements at once, beside the last page
 
 
 class PageParser(HTMLParser):
@@ -284,16 +291,26 @@ def field_value(page: Column, html: Column, rule: HtmlField) -> Column:
     return F.when(F.size(found) > 0, value)
 
 
+def read_pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Pages read, in pieces of bounded HTML: elements take many times the room of their HTML,
+    and a batch has ten thousand pages of any size."""
+    for batch in batches:
+        held, chars = [], 0
+        for html in batch:
+            page = PageParser(html.as_py() or "")
+            held.append({"nodes": page.nodes, "texts": page.texts})
+            chars += len(page.html)
+            if chars >= PIECE_CHARS:
+                yield pa.array(held, PAGE_ARROW)
+                held, chars = [], 0
+        if held:
+            yield pa.array(held, PAGE_ARROW)
+
+
 def read_page(html: Column) -> Column:
     """Elements and text runs of a page."""
     ship_package(SparkSession.active())
-
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            pages = [PageParser(h or "") for h in batch]
-            yield pd.DataFrame({"nodes": [p.nodes for p in pages], "texts": [p.texts for p in pages]}, dtype="object")
-
-    return F.pandas_udf(read, PAGE)(html)
+    return F.arrow_udf(read_pieces, PAGE)(html)
 
 
 def html_extract(

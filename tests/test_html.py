@@ -1,12 +1,14 @@
 """Selectors and rules on pages generated with known content."""
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from syncspark.errors import ConfigError
-from syncspark.sources.html import HtmlField, compile_selector, html_extract, read_page, select, text_of
+from syncspark.sources.html import HtmlField, compile_selector, html_extract, read_page, read_pieces, select, text_of
 
 
 @pytest.fixture(scope="module")
@@ -98,3 +100,29 @@ def test_only_html_has_a_detail(spark):
     rows = html_extract(df, {"p": {"cssSelector": " p ", "stripHtml": "TRUE"}, "all": {"cssSelector": ""}}, content_type=F.col("kind")).orderBy("i").collect()
     assert [(r.status, r.detail and r.detail.p) for r in rows] == [(200, None), (200, "q"), (404, None), (404, None), (404, None)]
     assert [r.detail for r in html_extract(df).orderBy("i").collect()] == [None, *["<p>q</p>"] * 4]
+
+
+def test_pages_are_read_in_pieces():
+    """Elements of a batch are never held together, and every page is there in order."""
+    page = catalogue(random.Random(7), 60)[0]
+
+    def peak(n):
+        batch = pa.array([page] * n + [None, ""])
+        tracemalloc.start()
+        try:
+            assert sum(len(piece) for piece in read_pieces(iter([batch, batch.slice(0, 0), batch]))) == 2 * (n + 2)
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert peak(600) < 1.3 * peak(100)
+    mixed = [f"<p>{i}</p>" + " " * 50_000 for i in range(20)] + [None, "", "<b>x"]
+    pieces = list(read_pieces(iter([pa.array(mixed)])))
+    assert len(pieces) > 2 and [p["texts"][:1] for piece in pieces for p in piece.to_pylist()] == [*([str(i)] for i in range(20)), [], [], ["x"]]
+
+
+def test_large_pages_through_spark(spark):
+    made = [f"<title>{i}</title>" + "<i>y</i>" * (5000 * (i % 3)) for i in range(60)]
+    df = spark.createDataFrame([(i, h if i % 7 else None) for i, h in enumerate(made)], "i int, html string").coalesce(1)
+    rows = html_extract(df, {"title": HtmlField("title", True), "n": HtmlField("i", True)}).select("i", "detail.title", F.length("detail.n").alias("n")).collect()
+    assert sorted(map(tuple, rows)) == [(i, str(i), 10_000 * (i % 3) - 1 if i % 3 else None) if i % 7 else (i, None, None) for i in range(60)]
